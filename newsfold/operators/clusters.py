@@ -65,17 +65,22 @@ def rank(summary: DataFrame, caps: DataFrame | None = None, cap: int | None = No
     descending, creation order on ties; keep ``final_event_cap`` per task;
     cluster_id = 1..n.  ``caps`` (task_name, final_event_cap) is
     configuration-sized and broadcast."""
+    w = Window.partitionBy(*GROUP).orderBy(
+        F.col("rep.domain_score").desc(), F.col("rep.content_chars").desc(), F.col("first_seen").asc()
+    )
+    if caps is None and cap is None:
+        return summary.withColumn("cluster_id", F.row_number().over(w))
     if caps is not None:
         df = summary.join(F.broadcast(caps.select("task_name", "final_event_cap")), "task_name")
         limit = max_cap
     else:
         df = summary.withColumn("final_event_cap", F.lit(cap))
         limit = cap
-    w = Window.partitionBy(*GROUP).orderBy(
-        F.col("rep.domain_score").desc(), F.col("rep.content_chars").desc(), F.col("first_seen").asc()
-    )
     ranked = df.withColumn("cluster_id", F.row_number().over(w))
     if limit is not None:
+        # a literal bound lets Catalyst insert a partial WindowGroupLimit
+        # before the shuffle, so a task with millions of clusters ships only
+        # ``limit`` rows per map partition to the final ranking
         ranked = ranked.filter(F.col("cluster_id") <= F.lit(limit))
     return ranked.filter(F.col("cluster_id") <= F.col("final_event_cap"))
 

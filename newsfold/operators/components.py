@@ -33,24 +33,21 @@ def component_labels(nodes: DataFrame, edges: DataFrame, max_rounds: int = MAX_R
         .distinct()
         .checkpoint()
     )
-    labels = sym.select(*GROUP, F.col("src").alias("seq")).distinct().withColumn("label", F.col("seq")).checkpoint()
+    labels = sym.groupBy(*GROUP, F.col("src").alias("seq")).agg(F.min("dst").alias("nb"))
+    labels = labels.select(*GROUP, "seq", F.least("seq", "nb").alias("label")).checkpoint()
     for _ in range(max_rounds):
-        pushed = labels.withColumnRenamed("seq", "src").join(sym, [*GROUP, "src"])
-        proposals = pushed.select(*GROUP, F.col("dst").alias("seq"), F.col("label"))
+        proposals = labels.withColumnRenamed("seq", "src").join(sym, [*GROUP, "src"]).select(
+            *GROUP, F.col("dst").alias("seq"), "label"
+        )
         merged = (
-            labels.unionByName(proposals)
+            labels.withColumn("old", F.col("label"))
+            .unionByName(proposals.withColumn("old", F.lit(None).cast("long")))
             .groupBy(*GROUP, "seq")
-            .agg(F.min("label").alias("label"))
+            .agg(F.min("label").alias("label"), F.min("old").alias("old"))
             .checkpoint()
         )
-        changed = (
-            merged.alias("n")
-            .join(labels.alias("o"), [*GROUP, "seq"])
-            .filter(F.col("n.label") < F.col("o.label"))
-            .limit(1)
-            .count()
-        )
-        labels = merged
+        changed = merged.filter(F.col("label") < F.col("old")).limit(1).count()
+        labels = merged.drop("old")
         if changed == 0:
             break
     else:

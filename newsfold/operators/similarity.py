@@ -146,10 +146,10 @@ def title_edges(classes: DataFrame) -> DataFrame:
     return v.filter(ok).select(*GROUP, "a", "b", F.lit("m4").alias("rule"))
 
 
-def merge_edges(features: DataFrame) -> DataFrame:
+def merge_edges(features: DataFrame, classes_pair: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """Union of copy, M1-M4 edges; one row per (a, b) with the rules that
     produced it (sorted, comma-joined)."""
-    members, classes = feature_classes(features)
+    members, classes = classes_pair if classes_pair is not None else feature_classes(features)
     parts = [
         copy_edges(members),
         signature_edges(classes),

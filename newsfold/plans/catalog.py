@@ -82,8 +82,8 @@ def _features(spark, sf):
 
 
 def _corpus_clusters(spark, sf):
-    feats = _features(spark, sf)
-    edges = S.merge_edges(feats)
+    feats = _features(spark, sf).checkpoint()
+    edges = S.merge_edges(feats).checkpoint()
     labels = component_labels(feats.select("run_id", "task_name", "seq"), edges)
     members = C.assign(feats, labels)
     summary = C.summarize(members)
@@ -620,7 +620,7 @@ def c7_overlap(spark, sf):
 
 @register("c2_components", _sqlr(CLUSTERS, "SELECT seq, label FROM labels"))
 def c2_components(spark, sf):
-    f = _features(spark, sf)
+    f = _features(spark, sf).checkpoint()
     return component_labels(f.select("run_id", "task_name", "seq"), S.merge_edges(f)).select("seq", "label")
 
 
@@ -760,8 +760,8 @@ def k2_markdown(spark, sf):
 def c1_leader(spark, sf):
     from ..operators.leader import leader_labels
 
-    f = _features(spark, sf)
-    return leader_labels(f, S.merge_edges(f)).select("seq", "label")
+    f = _features(spark, sf).checkpoint()
+    return leader_labels(f, S.merge_edges(f).checkpoint()).select("seq", "label")
 
 
 # ================================================================ Q1
