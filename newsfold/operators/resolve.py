@@ -76,6 +76,9 @@ def resolve_hits(
 
     ``hits`` needs run_id, task_name, arrival_seq, title, normalized_url,
     domain, snippet and optionally max_content_chars."""
+    # hits are read twice (URL keys, final join) and are bounded by the
+    # configuration; a reliable checkpoint computes them once
+    hits = hits.checkpoint()
     urls = hits.select("normalized_url").distinct()
     urls = sized_broadcast(urls, hit_bound)
     pages = snapshot_pages(snapshot, urls)

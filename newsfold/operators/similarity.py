@@ -46,7 +46,9 @@ def feature_classes(features: DataFrame) -> tuple[DataFrame, DataFrame]:
     members: run_id, task_name, seq, class_seq (pages with tokens only)
     classes: run_id, task_name, class_seq, tokens, title_tokens, version,
              signature, n_members"""
-    eligible = features.filter(F.size("tokens") > 0).select(*GROUP, "seq", *FEATURES)
+    # the narrow feature projection is read twice (classes, members); one
+    # reliable checkpoint keeps the upstream scan and extraction single
+    eligible = features.filter(F.size("tokens") > 0).select(*GROUP, "seq", *FEATURES).checkpoint()
     classes = eligible.groupBy(*GROUP, *FEATURES).agg(
         F.min("seq").alias("class_seq"), F.count(F.lit(1)).alias("n_members")
     )
@@ -150,6 +152,9 @@ def merge_edges(features: DataFrame, classes_pair: tuple[DataFrame, DataFrame] |
     """Union of copy, M1-M4 edges; one row per (a, b) with the rules that
     produced it (sorted, comma-joined)."""
     members, classes = classes_pair if classes_pair is not None else feature_classes(features)
+    # five rule branches read the class table; one reliable checkpoint keeps
+    # them from recomputing the features upstream five times
+    classes = classes.checkpoint()
     parts = [
         copy_edges(members),
         signature_edges(classes),
