@@ -1,8 +1,10 @@
 """Connected components of the merge graph (inventory C2).
 
-Min-label propagation over the undirected edge table: every node starts with
-its own seq as label; each round a node takes the smallest label among itself
-and its neighbours.  Only nodes that carry an edge take part; isolated pages
+Min-label propagation with shortcutting over the undirected edge table: every
+node starts with the smallest of its own seq and its neighbours'; each round a
+node takes the smallest label among itself and its neighbours, then jumps to
+its label's label (pointer jumping), so a long chain needs logarithmically many
+rounds instead of one per hop.  Only nodes that carry an edge take part; isolated pages
 keep their own label.  Each round's labels are cut from the lineage with a
 reliable ``checkpoint()`` (into ``spark.checkpoint.dir``), so a lost executor
 recomputes at most one round.  The loop is bounded and fails loudly when it
@@ -39,11 +41,16 @@ def component_labels(nodes: DataFrame, edges: DataFrame, max_rounds: int = MAX_R
         proposals = labels.withColumnRenamed("seq", "src").join(sym, [*GROUP, "src"]).select(
             *GROUP, F.col("dst").alias("seq"), "label"
         )
-        merged = (
+        hooked = (
             labels.withColumn("old", F.col("label"))
             .unionByName(proposals.withColumn("old", F.lit(None).cast("long")))
             .groupBy(*GROUP, "seq")
             .agg(F.min("label").alias("label"), F.min("old").alias("old"))
+        )
+        parent = hooked.select(*GROUP, F.col("seq").alias("label"), F.col("label").alias("grand"))
+        merged = (
+            hooked.join(parent, [*GROUP, "label"], "left")
+            .select(*GROUP, "seq", F.least("label", F.coalesce("grand", "label")).alias("label"), "old")
             .checkpoint()
         )
         changed = merged.filter(F.col("label") < F.col("old")).limit(1).count()

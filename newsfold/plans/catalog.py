@@ -764,6 +764,14 @@ def c1_leader(spark, sf):
     return leader_labels(f, S.merge_edges(f).checkpoint()).select("seq", "label")
 
 
+@register("c1_sequential", None)
+def c1_sequential(spark, sf):
+    """C1 exact mode on the run's hits: every task's pages are bounded by
+    queries x top_k, which ``auto`` checks before choosing it."""
+    res = run_triage(spark, _pages(spark, sf), CFG, cluster_mode="auto")
+    return res.labels.select("task_name", "seq", "label")
+
+
 # ================================================================ Q1
 
 
