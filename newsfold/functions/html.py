@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from .common import col as _c
+from .common import let
 from .text import normalize_ws
 
 
@@ -61,19 +62,22 @@ def _block_text(block: Column) -> Column:
 def main_content(cleaned_html) -> Column:
     """F2 on HTML already passed through :func:`strip_dropped_elements`.
 
-    '' when no block qualifies (callers then fall back to F1)."""
+    '' when no block qualifies (callers then fall back to F1).  Each block's
+    text is extracted once (bound with ``let``) and reused by the word count,
+    the link share and the output."""
     body = F.regexp_replace(_c(cleaned_html), r"(?is)^.*?<body\b[^>]*>", "")
     blocks = F.split(body, K.BLOCK_SPLIT_RE)
 
-    def keep(b: Column) -> Column:
-        text = _block_text(b)
-        nolink = _block_text(F.regexp_replace(b, r"(?is)<a\b[^>]*>.*?</a\s*>", " "))
-        n_chars = F.length(text)
-        link_chars = n_chars - F.length(nolink)
-        n_words = F.when(text == "", F.lit(0)).otherwise(F.size(F.split(text, " ")))
-        return (n_words >= K.MAIN_MIN_WORDS) & (
-            F.lit(100) * link_chars <= F.lit(K.MAIN_MAX_LINK_PCT) * n_chars
-        )
-
-    kept = F.transform(F.filter(blocks, keep), _block_text)
-    return F.array_join(kept, " ")
+    def score(b: Column) -> Column:
+        def with_text(text: Column) -> Column:
+            nolink = _block_text(F.regexp_replace(b, r"(?is)<a\b[^>]*>.*?</a\s*>", " "))
+            n_chars = F.length(text)
+            link_chars = n_chars - F.length(nolink)
+            n_words = F.when(text == "", F.lit(0)).otherwise(F.size(F.split(text, " ")))
+            keep = (n_words >= K.MAIN_MIN_WORDS) & (F.lit(100) * link_chars <= F.lit(K.MAIN_MAX_LINK_PCT) * n_chars)
+            return F.struct(text.alias("text"), keep.alias("keep"))
+
+        return let(_block_text(b), with_text)
+
+    kept = F.filter(F.transform(blocks, score), lambda s: s["keep"])
+    return F.array_join(F.transform(kept, lambda s: s["text"]), " ")
