@@ -660,27 +660,33 @@ def d7_cluster_signature(spark, sf):
     "d8_stage_counts",
     _sqlr(
         CLUSTERS,
-        "SELECT (SELECT count(*) FROM pages) AS n_pages, (SELECT count(*) FROM resolved) AS n_resolved, "
-        "(SELECT count(*) FROM d2) AS n_url_dedup, (SELECT count(*) FROM d3) AS n_title_dedup, "
-        "(SELECT count(*) FROM summary) AS n_clusters, (SELECT count(*) FROM summary WHERE source_count > 1) AS n_multi, "
-        "(SELECT sum(content_chars) FROM resolved)::BIGINT AS content_chars",
+        "SELECT 'pages' AS stage, count(*) AS n FROM pages UNION ALL SELECT 'resolved', count(*) FROM resolved "
+        "UNION ALL SELECT 'url_dedup', count(*) FROM d2 UNION ALL SELECT 'title_dedup', count(*) FROM d3 "
+        "UNION ALL SELECT 'clusters', count(*) FROM summary UNION ALL SELECT 'multi_source_clusters', count(*) FROM summary WHERE source_count > 1 "
+        "UNION ALL SELECT 'content_chars', sum(content_chars)::BIGINT FROM resolved",
     ),
 )
 def d8_stage_counts(spark, sf):
+    """Stage totals as (stage, n) rows, each a global aggregate."""
     pages = _pages(spark, sf)
     resolved = pages_as_resolved(pages)
-    d2 = url_dedup(resolved)
-    d3 = dedupe_pages(resolved)
     summary = _corpus_clusters(spark, sf)[4]
-    one = lambda df, name: df.agg(F.count(F.lit(1)).alias(name))
-    out = (
-        one(pages, "n_pages")
-        .crossJoin(one(resolved, "n_resolved"))
-        .crossJoin(one(d2, "n_url_dedup"))
-        .crossJoin(one(d3, "n_title_dedup"))
-        .crossJoin(summary.agg(F.count(F.lit(1)).alias("n_clusters"), F.count(F.when(F.col("source_count") > 1, 1)).alias("n_multi")))
-        .crossJoin(resolved.agg(F.sum("content_chars").cast("long").alias("content_chars")))
-    )
+
+    def count(df, stage):
+        return df.agg(F.count(F.lit(1)).cast("long").alias("n")).select(F.lit(stage).alias("stage"), "n")
+
+    parts = [
+        count(pages, "pages"),
+        count(resolved, "resolved"),
+        count(url_dedup(resolved), "url_dedup"),
+        count(dedupe_pages(resolved), "title_dedup"),
+        count(summary, "clusters"),
+        count(summary.filter(F.col("source_count") > 1), "multi_source_clusters"),
+        resolved.agg(F.sum("content_chars").cast("long").alias("n")).select(F.lit("content_chars").alias("stage"), "n"),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
     return out
 
 
@@ -768,7 +774,7 @@ def c1_leader(spark, sf):
 def c1_sequential(spark, sf):
     """C1 exact mode on the run's hits: every task's pages are bounded by
     queries x top_k, which ``auto`` checks before choosing it."""
-    res = run_triage(spark, _pages(spark, sf), CFG, cluster_mode="auto")
+    res = run_triage(spark, _pages(spark, sf), CFG, cluster_mode="auto")  # -> sequential
     return res.labels.select("task_name", "seq", "label")
 
 
@@ -788,7 +794,7 @@ def _q1_sql():
 
 @register("q1_triage", _q1_sql())
 def q1_triage(spark, sf):
-    return triage_report(run_triage(spark, _pages(spark, sf), CFG))
+    return triage_report(run_triage(spark, _pages(spark, sf), CFG, cluster_mode="components"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
