@@ -40,7 +40,7 @@ GROUP = ["run_id", "task_name"]
 FEATURES = ["tokens", "title_tokens", "version", "signature"]
 
 
-def feature_classes(features: DataFrame) -> tuple[DataFrame, DataFrame]:
+def feature_classes(features: DataFrame, cut: bool = True) -> tuple[DataFrame, DataFrame]:
     """Returns (members, classes).
 
     members: run_id, task_name, seq, class_seq (pages with tokens only)
@@ -48,7 +48,9 @@ def feature_classes(features: DataFrame) -> tuple[DataFrame, DataFrame]:
              signature, n_members"""
     # the narrow feature projection is read twice (classes, members); one
     # reliable checkpoint keeps the upstream scan and extraction single
-    eligible = features.filter(F.size("tokens") > 0).select(*GROUP, "seq", *FEATURES).checkpoint()
+    eligible = features.filter(F.size("tokens") > 0).select(*GROUP, "seq", *FEATURES)
+    if cut:
+        eligible = eligible.checkpoint()
     classes = eligible.groupBy(*GROUP, *FEATURES).agg(
         F.min("seq").alias("class_seq"), F.count(F.lit(1)).alias("n_members")
     )
@@ -148,10 +150,11 @@ def title_edges(classes: DataFrame) -> DataFrame:
     return v.filter(ok).select(*GROUP, "a", "b", F.lit("m4").alias("rule"))
 
 
-def merge_edges(features: DataFrame, classes_pair: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+def merge_edges(features: DataFrame, input_is_cut: bool = False) -> DataFrame:
     """Union of copy, M1-M4 edges; one row per (a, b) with the rules that
-    produced it (sorted, comma-joined)."""
-    members, classes = classes_pair if classes_pair is not None else feature_classes(features)
+    produced it (sorted, comma-joined).  ``input_is_cut``: ``features`` is
+    already a checkpoint, so it is not cut again."""
+    members, classes = feature_classes(features, cut=not input_is_cut)
     # five rule branches read the class table; one reliable checkpoint keeps
     # them from recomputing the features upstream five times
     classes = classes.checkpoint()

@@ -83,7 +83,7 @@ def _features(spark, sf):
 
 def _corpus_clusters(spark, sf):
     feats = _features(spark, sf).checkpoint()
-    edges = S.merge_edges(feats).checkpoint()
+    edges = S.merge_edges(feats, input_is_cut=True).checkpoint()
     labels = component_labels(feats.select("run_id", "task_name", "seq"), edges)
     members = C.assign(feats, labels)
     summary = C.summarize(members)
@@ -621,7 +621,7 @@ def c7_overlap(spark, sf):
 @register("c2_components", _sqlr(CLUSTERS, "SELECT seq, label FROM labels"))
 def c2_components(spark, sf):
     f = _features(spark, sf).checkpoint()
-    return component_labels(f.select("run_id", "task_name", "seq"), S.merge_edges(f)).select("seq", "label")
+    return component_labels(f.select("run_id", "task_name", "seq"), S.merge_edges(f, input_is_cut=True)).select("seq", "label")
 
 
 @register(
@@ -767,7 +767,7 @@ def c1_leader(spark, sf):
     from ..operators.leader import leader_labels
 
     f = _features(spark, sf).checkpoint()
-    return leader_labels(f, S.merge_edges(f).checkpoint()).select("seq", "label")
+    return leader_labels(f, S.merge_edges(f, input_is_cut=True).checkpoint()).select("seq", "label")
 
 
 @register("c1_sequential", None)
