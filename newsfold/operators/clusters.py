@@ -69,7 +69,11 @@ def rank(summary: DataFrame, caps: DataFrame | None = None, cap: int | None = No
         F.col("rep.domain_score").desc(), F.col("rep.content_chars").desc(), F.col("first_seen").asc()
     )
     if caps is None and cap is None:
-        return summary.withColumn("cluster_id", F.row_number().over(w))
+        # no cap: every cluster gets a position; avoid a one-task window
+        from .ranking import positions
+
+        order = [F.col("rep.domain_score").desc(), F.col("rep.content_chars").desc(), F.col("first_seen").asc()]
+        return positions(summary, GROUP, order, "cluster_id")
     if caps is not None:
         df = summary.join(F.broadcast(caps.select("task_name", "final_event_cap")), "task_name")
         limit = max_cap

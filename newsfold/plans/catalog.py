@@ -394,13 +394,14 @@ def d1_query_dedup(spark, sf):
 
 @register("w1_rank", _sql(HITS, "SELECT task_name, query_idx::BIGINT AS query_idx, normalized_url, rank FROM ranked_hits"))
 def w1_rank(spark, sf):
+    """W1 over all kept hits (no top-k): positions per query without a
+    one-task window (a query may match a third of all pages)."""
+    from ..operators.ranking import positions
+
     b = _base(spark, sf, main=False)
     qdim = HT.query_dimension(spark, CFG).select("task_name", "query_idx", "alternatives", "exclude_hosts", "top_k")
     h = HT.first_per_url(HT.valid_hits(HT.keyword_hits(b, qdim), CFG.blocked_host_tokens).select("task_name", "query_idx", "normalized_url", "src_pos"))
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("task_name", "query_idx").orderBy("src_pos")
-    return h.select("task_name", "query_idx", "normalized_url", F.row_number().over(w).alias("rank"))
+    return positions(h, ["task_name", "query_idx"], [F.col("src_pos")], "rank").select("task_name", "query_idx", "normalized_url", "rank")
 
 
 @register("t1_topk", _sql(HITS, "SELECT task_name, query_idx::BIGINT AS query_idx, rank, normalized_url FROM hits"))
@@ -540,14 +541,12 @@ def d3_title_dedup(spark, sf):
 
 @register("j2_title_semi", _sql(CORPUS, "SELECT normalized_url, first_seen FROM d2 WHERE normalized_url IN (SELECT normalized_url FROM d3)"))
 def j2_title_semi(spark, sf):
-    d2 = url_dedup(_resolved(spark, sf))
-    keyed = d2.withColumn("title_key", title_key_column(F.col("title"))).filter(F.col("title_key") != "")
-    from pyspark.sql import Window
+    """J2 as its own semi join: URL winners whose URL is among the title
+    winners (the D3 aggregation)."""
+    from ..operators.dedup import title_dedup
 
-    w = Window.partitionBy("run_id", "task_name", "title_key").orderBy(
-        F.col("domain_score").desc(), F.col("content_chars").desc(), F.col("first_seen").asc()
-    )
-    winners = keyed.withColumn("rn", F.row_number().over(w)).filter("rn = 1").select("run_id", "task_name", "normalized_url")
+    d2 = url_dedup(_resolved(spark, sf))
+    winners = title_dedup(d2).select("run_id", "task_name", "normalized_url")
     return d2.join(winners, ["run_id", "task_name", "normalized_url"], "left_semi").select("normalized_url", "first_seen")
 
 
