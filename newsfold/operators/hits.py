@@ -20,7 +20,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .. import constants as K
 from ..functions import text as X
 from ..functions import urls as U
 from ..sources.tasks import TaskConfig, queries_df, tasks_df

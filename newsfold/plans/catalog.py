@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import constants as K
-from ..functions import html as H
 from ..functions import scoring as R
 from ..functions import text as X
 from ..functions import urls as U
@@ -25,13 +24,13 @@ from ..operators import hits as HT
 from ..operators import report as RP
 from ..operators import similarity as S
 from ..operators.components import component_labels
-from ..operators.dedup import dedupe_pages, title_key_column, url_dedup
+from ..operators.dedup import dedupe_pages, url_dedup
 from ..operators.features import page_features
-from ..operators.pages import page_base, pages_as_resolved, search_snippet
+from ..operators.pages import page_base, pages_as_resolved
 from ..operators.replies import parse_replies, render_replies
 from ..operators.resolve import resolve_hits
 from ..sources import tables
-from ..sources.tasks import PROSE_CONFIG, tasks_df
+from ..sources.tasks import PROSE_CONFIG
 from . import oracle as O
 from .triage import run_triage, triage_report
 
