@@ -39,7 +39,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     Uses the context's folder or ``spark.checkpoint.dir``; only a local-mode
     session without either gets a fresh folder under the system temp dir."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server owns the checkpoint folder
+        return spark.conf.get("spark.checkpoint.dir", "")
     current = sc.getCheckpointDir()
     if current:
         return current

@@ -20,10 +20,12 @@ def spread(df: DataFrame) -> DataFrame:
     (a small file with one row group) before CPU-heavy text work.  A scan of a
     large table already has enough splits and is returned unchanged, so this
     never adds a shuffle at scale."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # sessions without a local SparkContext (Spark Connect)
+        return df
+    return df.repartition(cores) if parts < cores else df
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
