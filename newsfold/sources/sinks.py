@@ -46,14 +46,22 @@ def json_documents(json_rows: DataFrame, chunk: int = SOURCE_CHUNK) -> DataFrame
     return grouped.select("run_id", "task_name", "cluster_id", "chunk", "sub", F.to_json(doc, {"ignoreNullFields": "false"}).alias("value"))
 
 
+def _writer(df: DataFrame, mode: str):
+    # dynamic partition overwrite replaces only the (task_name, run_id)
+    # partitions being written: other runs stay, and a retried run (a
+    # re-executed streaming batch) replaces its own output instead of
+    # duplicating it
+    return df.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("task_name", "run_id")
+
+
 def write_json_report(json_rows: DataFrame, path: str, mode: str = "overwrite") -> None:
     docs = json_documents(json_rows).orderBy("task_name", "run_id", "cluster_id", "chunk", "sub")
-    docs.select("task_name", "run_id", "value").write.mode(mode).partitionBy("task_name", "run_id").text(path)
+    _writer(docs.select("task_name", "run_id", "value"), mode).text(path)
 
 
 def write_markdown_report(markdown_rows: DataFrame, path: str, mode: str = "overwrite") -> None:
     ordered = markdown_rows.orderBy("task_name", "run_id", "cluster_id", "part", "seq")
-    ordered.select("task_name", "run_id", F.col("text").alias("value")).write.mode(mode).partitionBy("task_name", "run_id").text(path)
+    _writer(ordered.select("task_name", "run_id", F.col("text").alias("value")), mode).text(path)
 
 
 def write_stage_tables(result, path: str, mode: str = "overwrite") -> None:
@@ -65,4 +73,4 @@ def write_stage_tables(result, path: str, mode: str = "overwrite") -> None:
         "clusters": result.ranked.select("run_id", "task_name", "cluster_id", "label", "first_seen", "source_count", "release_signature", "rep"),
     }
     for name, df in stages.items():
-        df.write.mode(mode).partitionBy("task_name", "run_id").parquet(f"{path.rstrip('/')}/{name}")
+        _writer(df, mode).parquet(f"{path.rstrip('/')}/{name}")

@@ -49,9 +49,11 @@ def start_snapshot_runs(
     def run_batch(pages: DataFrame, batch_id: int) -> None:
         run_cfg = replace(cfg, run_id=f"{cfg.run_id}_b{batch_id}")
         result = run_triage(pages.sparkSession, pages, run_cfg, cluster_mode=cluster_mode)
-        sinks.write_json_report(result.json_rows, f"{out_dir}/json", mode="append")
-        sinks.write_markdown_report(result.markdown_rows, f"{out_dir}/markdown", mode="append")
-        sinks.write_stage_tables(result, f"{out_dir}/stages", mode="append")
+        # run ids derive from the batch id, and sinks overwrite only their own
+        # partitions, so a re-executed batch replaces its output (idempotent)
+        sinks.write_json_report(result.json_rows, f"{out_dir}/json")
+        sinks.write_markdown_report(result.markdown_rows, f"{out_dir}/markdown")
+        sinks.write_stage_tables(result, f"{out_dir}/stages")
 
     writer = stream.writeStream.foreachBatch(run_batch).option("checkpointLocation", location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 hour")

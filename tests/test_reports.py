@@ -117,3 +117,17 @@ def test_snapshot_stream_runs_once(spark):
     stages = spark.read.parquet(out + "/stages/clusters")
     assert stages.count() > 0
     assert stages.select("run_id").distinct().count() == 1
+
+
+def test_sink_overwrites_only_its_run(spark):
+    from newsfold.sources import sinks
+
+    out = tempfile.mkdtemp(prefix="newsfold-sink2-") + "/md"
+    rows = lambda run: spark.createDataFrame(
+        [("t", run, 0, 0, 0, f"# {run}\n")], "task_name string, run_id string, cluster_id int, part int, seq long, text string"
+    )
+    sinks.write_markdown_report(rows("r1"), out)
+    sinks.write_markdown_report(rows("r2"), out)
+    sinks.write_markdown_report(rows("r2"), out)  # a retried run replaces itself
+    got = sorted((r["run_id"], r["value"]) for r in spark.read.text(out).collect() if r["value"])
+    assert got == [("r1", "# r1"), ("r2", "# r2")]
