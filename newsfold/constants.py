@@ -135,6 +135,32 @@ LANGUAGE_RULES = (
 )
 DEFAULT_LANGUAGE = "unknown"
 
+# fetch statuses
+STATUS_OK = "ok"
+STATUS_EMPTY = "empty_content"
+STATUS_FALLBACK_PREFIX = "fallback:"
+
+# search-reply text: section marker, title line, URL line, snippet opener
+REPLY_SECTION_MARKER = "Search Results"
+REPLY_TITLE_LINE = r"\d+\.\s+\*+(.+?)\*+"
+REPLY_URL_LINE = r"\s+URL:\s+(.+)"
+REPLY_SNIPPET_OPENER = "("
+
+# Markdown report lines (joined by newlines)
+MD_HEADER = "# Daily Report: {task}"
+MD_GENERATED = "Generated: {ts}"
+MD_SECTION = "## {i}. {title}"
+MD_URL = "- **URL**: {url}"
+MD_DOMAIN = "- **Domain**: {domain}"
+MD_STATUS = "- **Status**: {status}"
+MD_LENGTH = "- **Content Length**: {chars} chars"
+MD_SOURCES = "- **Sources**: {n}"
+MD_PREVIEW = "### Content Preview"
+MD_MORE = "### Additional Sources"
+MD_SOURCE_LINE = "- [{title}]({url}) ({domain})"
+MD_RULE = "---"
+MD_ELLIPSIS = "..."
+
 # --------------------------------------------------------------------------
 # Our own constants (regex spellings valid in Java regex and RE2)
 # --------------------------------------------------------------------------

@@ -9,7 +9,7 @@ D2: one row per canonical URL, greatest (domain_score, content_chars), ties
 to the earliest arrival; ``first_seen`` = the first sighting of the URL, which
 is the row's position in all later steps (``seq``).
 D3: one row per non-empty title key, same score, ties to the smallest
-first_seen; empty keys are dropped (``mode='reference'``) or pass through
+first_seen; empty keys are dropped (``mode='strict'``) or pass through
 (``mode='unicode'``, keys keep any letter or digit).  J2 is folded in: the
 title winners are exactly the D2 rows that survive.
 """
@@ -35,8 +35,8 @@ def url_dedup(resolved: DataFrame) -> DataFrame:
     return agg.select(*GROUP, "normalized_url", "w.*", "first_seen")
 
 
-def title_key_column(title, mode: str = "reference"):
-    if mode == "reference":
+def title_key_column(title, mode: str = "strict"):
+    if mode == "strict":
         return X.title_key(title)
     if mode == "unicode":
         toks = F.filter(
@@ -47,7 +47,7 @@ def title_key_column(title, mode: str = "reference"):
     raise ValueError(f"unknown title key mode {mode!r}")
 
 
-def title_dedup(urls: DataFrame, mode: str = "reference") -> DataFrame:
+def title_dedup(urls: DataFrame, mode: str = "strict") -> DataFrame:
     """D3 + J2 over D2 output.  Adds ``title_key``."""
     keyed = urls.withColumn("title_key", title_key_column(F.col("title"), mode))
     if mode == "unicode":
@@ -63,6 +63,6 @@ def title_dedup(urls: DataFrame, mode: str = "reference") -> DataFrame:
     return agg.select(*GROUP, "w.*")
 
 
-def dedupe_pages(resolved: DataFrame, mode: str = "reference") -> DataFrame:
+def dedupe_pages(resolved: DataFrame, mode: str = "strict") -> DataFrame:
     """D2 then D3; ``seq`` = first_seen (unique per surviving page)."""
     return title_dedup(url_dedup(resolved), mode).withColumn("seq", F.col("first_seen"))

@@ -55,7 +55,7 @@ def resolved_columns(
     hit_title: Column,
     snippet: Column,
     max_chars: Column,
-    fallback_status: str = "fallback:HTTPError",
+    fallback_status: str = K.STATUS_FALLBACK_PREFIX + "HTTPError",
 ) -> dict:
     """S6/P7/F3 as columns.
 
@@ -71,7 +71,7 @@ def resolved_columns(
         cleaned,
         lambda c: F.struct(
             F.when(found & (c == ""), snippet).otherwise(c).alias("content"),
-            F.when(found, F.when(c != "", F.lit("ok")).otherwise(F.lit("empty_content")))
+            F.when(found, F.when(c != "", F.lit(K.STATUS_OK)).otherwise(F.lit(K.STATUS_EMPTY)))
             .otherwise(F.lit(fallback_status))
             .alias("fetch_status"),
         ),

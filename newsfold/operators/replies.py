@@ -19,9 +19,9 @@ from pyspark.sql import types as T
 
 from .. import constants as K
 
-TITLE_LINE_RE = r"^\d+\.\s+\*+(.+?)\*+"
-URL_LINE_RE = r"^\s+URL:\s+(.+)"
-SECTION_MARKER = "Search Results"
+TITLE_LINE_RE = "^" + K.REPLY_TITLE_LINE
+URL_LINE_RE = "^" + K.REPLY_URL_LINE
+SECTION_MARKER = K.REPLY_SECTION_MARKER
 ITEM_TYPE = T.ArrayType(
     T.StructType(
         [
@@ -66,7 +66,7 @@ def _step(acc: Column, line: Column) -> Column:
     active = in_res & ~is_sr
     c_title = active & is_title
     c_url = active & ~is_title & is_url & has
-    c_paren = active & ~is_title & ~c_url & has & stripped.startswith("(")
+    c_paren = active & ~is_title & ~c_url & has & stripped.startswith(K.REPLY_SNIPPET_OPENER)
     emit = c_paren & (acc["title"] != "") & (acc["url"] != "")
     new_item = F.struct(
         acc["n"].alias("item_no"), acc["title"].alias("title"), acc["url"].alias("url"), stripped.alias("snippet")

@@ -16,6 +16,8 @@ leaves out the earliest source instead, as the original did.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -61,7 +63,23 @@ def json_rows(ranked: DataFrame, srcs: DataFrame, run_ts: str = K.DEFAULT_RUN_TS
 
 def _preview(content: Column) -> Column:
     n = K.MARKDOWN_PREVIEW_CHARS
-    return F.when(F.length(content) > n, F.concat(F.substring(content, 1, n), F.lit("..."))).otherwise(content)
+    return F.when(F.length(content) > n, F.concat(F.substring(content, 1, n), F.lit(K.MD_ELLIPSIS))).otherwise(content)
+
+
+def fmt(template: str, **cols) -> Column:
+    """A format line from ``constants`` with ``{name}`` placeholders filled
+    by columns: one ``concat`` of literals and columns."""
+    parts = []
+    for lit_part, name in re.findall(r"([^{]*)(?:\{(\w+)\})?", template):
+        if lit_part:
+            parts.append(F.lit(lit_part))
+        if name:
+            parts.append(cols[name].cast("string"))
+    return F.concat(*parts)
+
+
+def lines(*cols: Column) -> Column:
+    return F.concat_ws("\n", *cols)
 
 
 def markdown_rows(
@@ -74,14 +92,20 @@ def markdown_rows(
     """K2 blocks.  ``task_names`` (run_id, task_name) gives every task a
     header even when it has no cluster."""
     r = F.col
-    section = F.concat(
-        F.lit("## "), r("cluster_id").cast("string"), F.lit(". "), r("rep.title"),
-        F.lit("\n\n- **URL**: "), r("rep.url"),
-        F.lit("\n- **Domain**: "), r("rep.domain"),
-        F.lit("\n- **Status**: "), r("rep.fetch_status"),
-        F.lit("\n- **Content Length**: "), r("rep.content_chars").cast("string"), F.lit(" chars"),
-        F.lit("\n- **Sources**: "), r("source_count").cast("string"),
-        F.lit("\n\n### Content Preview\n\n"), _preview(r("rep.content")), F.lit("\n"),
+    empty = F.lit("")
+    section = lines(
+        fmt(K.MD_SECTION, i=r("cluster_id"), title=r("rep.title")),
+        empty,
+        fmt(K.MD_URL, url=r("rep.url")),
+        fmt(K.MD_DOMAIN, domain=r("rep.domain")),
+        fmt(K.MD_STATUS, status=r("rep.fetch_status")),
+        fmt(K.MD_LENGTH, chars=r("rep.content_chars")),
+        fmt(K.MD_SOURCES, n=r("source_count")),
+        empty,
+        F.lit(K.MD_PREVIEW),
+        empty,
+        _preview(r("rep.content")),
+        empty,
     )
     multi = r("source_count") > 1
     blocks = ranked.select(
@@ -93,12 +117,14 @@ def markdown_rows(
                 F.struct(
                     F.lit(1).alias("part"),
                     F.lit(0).cast("long").alias("seq"),
-                    F.when(multi, F.lit("### Additional Sources\n")).alias("text"),
+                    F.when(multi, lines(F.lit(K.MD_MORE), empty)).alias("text"),
                 ),
                 F.struct(
                     F.lit(3).alias("part"),
                     F.lit(0).cast("long").alias("seq"),
-                    F.when(multi, F.lit("\n---\n")).otherwise(F.lit("---\n")).alias("text"),
+                    F.when(multi, lines(empty, F.lit(K.MD_RULE), empty))
+                    .otherwise(lines(F.lit(K.MD_RULE), empty))
+                    .alias("text"),
                 ),
             )
         ).alias("b"),
@@ -109,12 +135,12 @@ def markdown_rows(
         listed = srcs.join(first, [*GROUP, "cluster_id"]).filter(F.col("seq") != F.col("skip_seq"))
     else:
         listed = srcs.filter(F.col("seq") != F.col("rep_seq"))
-    lines = listed.select(
+    source_lines = listed.select(
         *GROUP,
         "cluster_id",
         F.lit(2).alias("part"),
         "seq",
-        F.concat(F.lit("- ["), r("title"), F.lit("]("), r("url"), F.lit(") ("), r("domain"), F.lit(")")).alias("text"),
+        fmt(K.MD_SOURCE_LINE, title=r("title"), url=r("url"), domain=r("domain")).alias("text"),
     )
     names = task_names if task_names is not None else ranked.select(*GROUP).distinct()
     header = names.select(
@@ -122,6 +148,6 @@ def markdown_rows(
         F.lit(0).alias("cluster_id"),
         F.lit(0).alias("part"),
         F.lit(0).cast("long").alias("seq"),
-        F.concat(F.lit("# Daily Report: "), r("task_name"), F.lit("\nGenerated: " + iso_ts(run_ts) + "\n")).alias("text"),
+        lines(fmt(K.MD_HEADER, task=r("task_name")), fmt(K.MD_GENERATED, ts=F.lit(iso_ts(run_ts))), F.lit("")).alias("text"),
     )
-    return header.unionByName(blocks).unionByName(lines)
+    return header.unionByName(blocks).unionByName(source_lines)

@@ -494,17 +494,17 @@ def _s2_sql():
         f"string_agg({item}, chr(10) ORDER BY rank) AS body FROM hits GROUP BY task_name, query_idx)",
         "ln AS (SELECT task_name, query_idx, unnest(string_split(body, chr(10))) AS line, generate_subscripts(string_split(body, chr(10)), 1) AS pos FROM rep)",
         "ln1 AS (SELECT *, regexp_replace(line, " + O.lit("^" + K.WS + "|" + K.WS + "$") + ", '', 'g') AS stripped, "
-        "min(CASE WHEN strpos(line, 'Search Results') > 0 THEN pos END) OVER (PARTITION BY task_name, query_idx) AS sr_pos FROM ln)",
-        "ln2 AS (SELECT *, strpos(line, 'Search Results') > 0 AS is_sr, "
-        + "regexp_matches(stripped, " + O.lit(r"^\d+\.\s+\*+(.+?)\*+") + ") AS is_title FROM ln1 WHERE pos > sr_pos)",
+        "min(CASE WHEN strpos(line, " + O.lit(K.REPLY_SECTION_MARKER) + ") > 0 THEN pos END) OVER (PARTITION BY task_name, query_idx) AS sr_pos FROM ln)",
+        "ln2 AS (SELECT *, strpos(line, " + O.lit(K.REPLY_SECTION_MARKER) + ") > 0 AS is_sr, "
+        + "regexp_matches(stripped, " + O.lit("^" + K.REPLY_TITLE_LINE) + ") AS is_title FROM ln1 WHERE pos > sr_pos)",
         "ln3 AS (SELECT *, is_title AND NOT is_sr AS t, sum(CASE WHEN is_title AND NOT is_sr THEN 1 ELSE 0 END) OVER "
         "(PARTITION BY task_name, query_idx ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS item_no FROM ln2)",
-        "ln4 AS (SELECT *, NOT is_sr AND NOT t AND regexp_matches(line, " + O.lit(r"^\s+URL:\s+(.+)") + ") AS is_url, "
+        "ln4 AS (SELECT *, NOT is_sr AND NOT t AND regexp_matches(line, " + O.lit("^" + K.REPLY_URL_LINE) + ") AS is_url, "
         "NOT is_sr AND NOT t AND starts_with(stripped, '(') AS is_paren FROM ln3 WHERE item_no > 0)",
         "it AS (SELECT task_name, query_idx, item_no, "
-        "any_value(CASE WHEN t THEN regexp_extract(stripped, " + O.lit(r"^\d+\.\s+\*+(.+?)\*+") + ", 1) END) AS title, "
+        "any_value(CASE WHEN t THEN regexp_extract(stripped, " + O.lit("^" + K.REPLY_TITLE_LINE) + ", 1) END) AS title, "
         "min(CASE WHEN is_paren THEN pos END) AS p1 FROM ln4 GROUP BY ALL)",
-        "urls AS (SELECT i.task_name, i.query_idx, i.item_no, arg_max(trim(regexp_extract(l.line, " + O.lit(r"^\s+URL:\s+(.+)") + ", 1)), l.pos) AS url "
+        "urls AS (SELECT i.task_name, i.query_idx, i.item_no, arg_max(trim(regexp_extract(l.line, " + O.lit("^" + K.REPLY_URL_LINE) + ", 1)), l.pos) AS url "
         "FROM it i JOIN ln4 l ON l.task_name = i.task_name AND l.query_idx = i.query_idx AND l.item_no = i.item_no AND l.is_url AND l.pos < i.p1 GROUP BY ALL)",
         "snips AS (SELECT i.task_name, i.query_idx, i.item_no, l.stripped AS snippet FROM it i JOIN ln4 l "
         "ON l.task_name = i.task_name AND l.query_idx = i.query_idx AND l.item_no = i.item_no AND l.pos = i.p1)",
@@ -726,27 +726,40 @@ def k1_json(spark, sf):
 
 
 def _k2_sql():
-    nl = O.NL
     preview = (
-        f"(CASE WHEN length(r.rep_content) > {K.MARKDOWN_PREVIEW_CHARS} THEN substring(r.rep_content, 1, {K.MARKDOWN_PREVIEW_CHARS}) || '...' "
-        "ELSE r.rep_content END)"
+        f"(CASE WHEN length(r.rep_content) > {K.MARKDOWN_PREVIEW_CHARS} THEN substring(r.rep_content, 1, {K.MARKDOWN_PREVIEW_CHARS}) || "
+        f"{O.lit(K.MD_ELLIPSIS)} ELSE r.rep_content END)"
     )
-    section = (
-        f"'## ' || r.cluster_id::VARCHAR || '. ' || r.rep_title || {nl} || {nl} || '- **URL**: ' || r.rep_url || {nl} || "
-        f"'- **Domain**: ' || r.rep_domain || {nl} || '- **Status**: ' || r.rep_status || {nl} || "
-        f"'- **Content Length**: ' || r.rep_chars::VARCHAR || ' chars' || {nl} || '- **Sources**: ' || r.source_count::VARCHAR || "
-        f"{nl} || {nl} || '### Content Preview' || {nl} || {nl} || {preview} || {nl}"
+    e = "''"
+    section = O.sql_lines(
+        O.sql_fmt(K.MD_SECTION, i="r.cluster_id", title="r.rep_title"),
+        e,
+        O.sql_fmt(K.MD_URL, url="r.rep_url"),
+        O.sql_fmt(K.MD_DOMAIN, domain="r.rep_domain"),
+        O.sql_fmt(K.MD_STATUS, status="r.rep_status"),
+        O.sql_fmt(K.MD_LENGTH, chars="r.rep_chars"),
+        O.sql_fmt(K.MD_SOURCES, n="r.source_count"),
+        e,
+        O.lit(K.MD_PREVIEW),
+        e,
+        preview,
+        e,
     )
-    ts = CFG.run_ts.replace(" ", "T")
+    header = O.sql_lines(
+        O.sql_fmt(K.MD_HEADER, task="task_name"), O.sql_fmt(K.MD_GENERATED, ts=O.lit(CFG.run_ts.replace(" ", "T"))), e
+    )
+    more = O.sql_lines(O.lit(K.MD_MORE), e)
+    rule_multi = O.sql_lines(e, O.lit(K.MD_RULE), e)
+    rule_single = O.sql_lines(O.lit(K.MD_RULE), e)
+    source_line = O.sql_fmt(K.MD_SOURCE_LINE, title="s.title", url="s.url", domain="s.domain")
     return _sqlr(
         CLUSTERS,
-        f"SELECT task_name, 0::BIGINT AS cluster_id, 0::BIGINT AS part, 0::BIGINT AS seq, "
-        f"'# Daily Report: ' || task_name || {nl} || 'Generated: {ts}' || {nl} AS text FROM (SELECT DISTINCT task_name FROM ranked) "
+        f"SELECT task_name, 0::BIGINT AS cluster_id, 0::BIGINT AS part, 0::BIGINT AS seq, {header} AS text "
+        "FROM (SELECT DISTINCT task_name FROM ranked) "
         f"UNION ALL SELECT r.task_name, r.cluster_id, 0, 0, {section} FROM ranked r "
-        f"UNION ALL SELECT r.task_name, r.cluster_id, 1, 0, '### Additional Sources' || {nl} FROM ranked r WHERE r.source_count > 1 "
-        f"UNION ALL SELECT r.task_name, r.cluster_id, 3, 0, CASE WHEN r.source_count > 1 THEN {nl} || '---' || {nl} ELSE '---' || {nl} END FROM ranked r "
-        "UNION ALL SELECT s.task_name, s.cluster_id, 2, s.seq, '- [' || s.title || '](' || s.url || ') (' || s.domain || ')' "
-        "FROM srcs s WHERE s.seq <> s.rep_seq",
+        f"UNION ALL SELECT r.task_name, r.cluster_id, 1, 0, {more} FROM ranked r WHERE r.source_count > 1 "
+        f"UNION ALL SELECT r.task_name, r.cluster_id, 3, 0, CASE WHEN r.source_count > 1 THEN {rule_multi} ELSE {rule_single} END FROM ranked r "
+        f"UNION ALL SELECT s.task_name, s.cluster_id, 2, s.seq, {source_line} FROM srcs s WHERE s.seq <> s.rep_seq",
     )
 
 

@@ -238,6 +238,23 @@ def host_allowed(d: str, blocked) -> str:
     return f"({cond})"
 
 
+def sql_fmt(template: str, **exprs) -> str:
+    """A format line from ``constants`` as a SQL concatenation."""
+    import re
+
+    parts = []
+    for lit_part, name in re.findall(r"([^{]*)(?:\{(\w+)\})?", template):
+        if lit_part:
+            parts.append(lit(lit_part))
+        if name:
+            parts.append(f"CAST({exprs[name]} AS VARCHAR)")
+    return "(" + " || ".join(parts) + ")"
+
+
+def sql_lines(*exprs: str) -> str:
+    return "(" + f" || {NL} || ".join(exprs) + ")"
+
+
 def with_(ctes: list[str], final: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n" + final
 
@@ -290,7 +307,7 @@ def pages_resolved_ctes(max_chars: int = K.DEFAULT_MAX_CONTENT_CHARS, run_id: st
         "normalized_url AS url, normalized_url, title, snippet, domain, "
         "CASE WHEN cleaned = '' THEN snippet ELSE cleaned END AS content, "
         "length(CASE WHEN cleaned = '' THEN snippet ELSE cleaned END) AS content_chars, "
-        "CASE WHEN cleaned <> '' THEN 'ok' ELSE 'empty_content' END AS fetch_status, "
+        f"CASE WHEN cleaned <> '' THEN {lit(K.STATUS_OK)} ELSE {lit(K.STATUS_EMPTY)} END AS fetch_status, "
         f"{lit(run_ts.replace(' ', 'T'))} AS fetched_at, {domain_score('domain')} AS domain_score FROM pr1)"
     )
     return ctes
@@ -455,6 +472,7 @@ def resolve_ctes(cfg: TaskConfig, hits: str = "hits") -> list[str]:
         "resolved AS (SELECT run_id, task_name, arrival_seq, normalized_url AS url, normalized_url, rtitle AS title, snippet, domain, "
         "CASE WHEN found AND cleaned = '' THEN snippet ELSE cleaned END AS content, "
         "length(CASE WHEN found AND cleaned = '' THEN snippet ELSE cleaned END) AS content_chars, "
-        "CASE WHEN NOT found THEN 'fallback:HTTPError' WHEN cleaned <> '' THEN 'ok' ELSE 'empty_content' END AS fetch_status, "
+        f"CASE WHEN NOT found THEN {lit(K.STATUS_FALLBACK_PREFIX + 'HTTPError')} WHEN cleaned <> '' THEN {lit(K.STATUS_OK)} "
+        f"ELSE {lit(K.STATUS_EMPTY)} END AS fetch_status, "
         f"{lit(cfg.run_ts.replace(' ', 'T'))} AS fetched_at, {domain_score('domain')} AS domain_score, final_event_cap FROM rv0)",
     ]
