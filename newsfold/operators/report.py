@@ -3,7 +3,7 @@
 Reports are relations, not strings assembled on the driver:
 
 * K1 rows: one row per (reported cluster, source) with the cluster's JSON
-  fields; the JSON sink nests them (sources.py).
+  fields; the JSON sink (``sources/sinks.py``) nests them.
 * K2 rows: the Markdown document as ordered text blocks
   (task_name, cluster_id, part, seq, text); joining the blocks of a task in
   (cluster_id, part, seq) order with newlines gives the document.  The header
