@@ -219,12 +219,12 @@ def f2_main_content(spark, sf):
     )
 
 
-@register("r1_domain_score", _sql(PB_NOMAIN, f"SELECT page_id, domain, {O.domain_score('domain')} AS domain_score FROM page_base"))
+@register("r1_domain_score", _sql(PB_NOMAIN, f"SELECT page_id, domain, {O.domain_score('domain')}::BIGINT AS domain_score FROM page_base"))
 def r1_domain_score(spark, sf):
     return _base(spark, sf, main=False).select("page_id", "domain", R.domain_score("domain").alias("domain_score"))
 
 
-@register("r2_official_bonus", _sql(PB_NOMAIN, f"SELECT page_id, domain, {O.official_bonus('domain')} AS official_bonus FROM page_base"))
+@register("r2_official_bonus", _sql(PB_NOMAIN, f"SELECT page_id, domain, {O.official_bonus('domain')}::BIGINT AS official_bonus FROM page_base"))
 def r2_official_bonus(spark, sf):
     return _base(spark, sf, main=False).select("page_id", "domain", R.official_bonus("domain").alias("official_bonus"))
 
