@@ -2,10 +2,12 @@
 
 Plan shape:
 
-* P6 matches every page against the query dimension.  The query side is
-  configuration whose row count is known on the driver, so it is broadcast
-  (after ``TaskConfig.check_broadcastable``) and the match is a broadcast
-  nested-loop join evaluated map-side: no shuffle of pages.
+* P6 matches every page against the query dimension without a join: the
+  query dimension is configuration known on the driver, so it is compiled
+  into one literal array of query structs and each page keeps the queries it
+  satisfies (``filter`` + ``explode`` in the scan stage; no shuffle, no
+  pages-by-queries product).  A configuration above ``MAX_LITERAL_PHRASES``
+  phrases is split into chunks, one projection per chunk, unioned.
 * P1/P3/P4 are filters in the same stage.
 * D1 (first sighting per query and canonical URL) is an aggregation with a
   map-side partial ``min(struct(src_pos, ...))``, so a URL repeated by many
@@ -26,6 +28,9 @@ from ..sources.tasks import TaskConfig, queries_df, tasks_df
 from .pages import search_snippet
 
 SEQ_STRIDE = 1 << 32
+# phrases compiled into one projection; more are split into several passes
+MAX_LITERAL_PHRASES = 20_000
+QUERY_STRUCT = "struct<task_name:string,query_idx:int,alternatives:array<array<array<string>>>,exclude_hosts:array<string>,top_k:int>"
 
 
 def query_matches(searchable: Column, alternatives: Column) -> Column:
@@ -46,9 +51,46 @@ def query_dimension(spark, cfg: TaskConfig) -> DataFrame:
     return q.join(F.broadcast(t), "task_name")
 
 
-def keyword_hits(base: DataFrame, qdim: DataFrame) -> DataFrame:
+def _query_struct(task, idx: int, q) -> Column:
+    alts = F.array(
+        *[F.array(*[F.array(*[F.lit(p.lower()) for p in clause]) for clause in alt]) for alt in q.alternatives]
+    )
+    excl = F.array(*[F.lit(h.lower()) for h in q.exclude_hosts])
+    return F.struct(
+        F.lit(task.name).alias("task_name"),
+        F.lit(idx).alias("query_idx"),
+        alts.alias("alternatives"),
+        excl.alias("exclude_hosts"),
+        F.lit(task.top_k).alias("top_k"),
+    ).cast(QUERY_STRUCT)
+
+
+def query_chunks(cfg: TaskConfig, max_phrases: int = MAX_LITERAL_PHRASES) -> list[Column]:
+    """The query dimension as literal arrays of query structs, each holding at
+    most ``max_phrases`` phrases."""
+    chunks, current, n = [], [], 0
+    for t in cfg.tasks:
+        for i, q in enumerate(t.queries):
+            size = sum(len(c) for alt in q.alternatives for c in alt)
+            if current and n + size > max_phrases:
+                chunks.append(current)
+                current, n = [], 0
+            current.append(_query_struct(t, i, q))
+            n += size
+    if current:
+        chunks.append(current)
+    return [F.array(*c) for c in chunks]
+
+
+def matching_queries(searchable: Column, queries: Column) -> Column:
+    """The queries (structs) whose formula the lowercased text satisfies."""
+    return F.filter(queries, lambda q: query_matches(searchable, q["alternatives"]))
+
+
+def keyword_hits(base: DataFrame, cfg: TaskConfig) -> DataFrame:
     """P6 over page_base rows: one row per (task, query, matching page) with
-    the page's search-result fields.  ``src_pos`` orders results (page_id)."""
+    the page's search-result fields and the query's exclusions and top_k.
+    ``src_pos`` orders results (page_id)."""
     searchable = base.select(
         "page_id",
         F.col("page_title").alias("title"),
@@ -58,10 +100,17 @@ def keyword_hits(base: DataFrame, qdim: DataFrame) -> DataFrame:
         search_snippet("body_text").alias("snippet"),
         F.lower(F.concat_ws(" ", "page_title", "body_text")).alias("_search"),
     )
-    joined = searchable.join(
-        F.broadcast(qdim), query_matches(F.col("_search"), F.col("alternatives")), "inner"
-    )
-    return joined.drop("_search", "alternatives").withColumn("src_pos", F.col("page_id"))
+    parts = []
+    for chunk in query_chunks(cfg):
+        m = searchable.select("*", F.explode(matching_queries(F.col("_search"), chunk)).alias("_q"))
+        parts.append(m.select("*", "_q.*").drop("_q", "_search", "alternatives"))
+    if not parts:
+        schema = "page_id long, title string, url string, normalized_url string, domain string, snippet string, task_name string, query_idx int, exclude_hosts array<string>, top_k int"
+        return base.sparkSession.createDataFrame([], schema).withColumn("src_pos", F.col("page_id"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.withColumn("src_pos", F.col("page_id"))
 
 
 def valid_hits(hits: DataFrame, blocked_host_tokens) -> DataFrame:
@@ -104,7 +153,7 @@ def search_hits(base: DataFrame, qdim: DataFrame, cfg: TaskConfig) -> DataFrame:
     (S5): same index, same post-processing (S4), ``provider = 'fallback'`` and
     the L1 region of the query text.  Both providers are served by one scan and
     one match join instead of a union of two scans."""
-    hits = keyword_hits(base, qdim.select("task_name", "query_idx", "alternatives", "exclude_hosts", "top_k"))
+    hits = keyword_hits(base, cfg)
     hits = valid_hits(hits, cfg.blocked_host_tokens).drop("exclude_hosts")
     hits = first_per_url(hits)
     hits = rank_top_k(hits, cfg.max_top_k)

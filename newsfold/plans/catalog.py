@@ -294,9 +294,9 @@ def l2_language(spark, sf):
 )
 def p6_keyword_match(spark, sf):
     d = tables.documents(spark, sf).select("doc_id", F.lower(X.normalize_ws("text")).alias("search"))
-    qdim = HT.query_dimension(spark, CFG).select("task_name", "query_idx", "alternatives")
-    m = d.join(F.broadcast(qdim), HT.query_matches(F.col("search"), F.col("alternatives")))
-    return m.select("task_name", "query_idx", "doc_id")
+    (queries,) = HT.query_chunks(CFG)
+    m = d.select("doc_id", F.explode(HT.matching_queries(F.col("search"), queries)).alias("q"))
+    return m.select("q.task_name", "q.query_idx", "doc_id")
 
 
 # ================================================================ P5, N2 on events
@@ -386,8 +386,7 @@ def _d1_sql():
 def d1_query_dedup(spark, sf):
     b = _base(spark, sf, main=False)
     twice = b.unionByName(b.withColumn("page_id", F.col("page_id") + F.lit(1_000_000_000_000)))
-    qdim = HT.query_dimension(spark, CFG).select("task_name", "query_idx", "alternatives", "exclude_hosts", "top_k")
-    h = HT.valid_hits(HT.keyword_hits(twice, qdim), CFG.blocked_host_tokens)
+    h = HT.valid_hits(HT.keyword_hits(twice, CFG), CFG.blocked_host_tokens)
     return HT.first_per_url(h.select("task_name", "query_idx", "normalized_url", "src_pos"))
 
 
@@ -398,8 +397,7 @@ def w1_rank(spark, sf):
     from ..operators.ranking import positions
 
     b = _base(spark, sf, main=False)
-    qdim = HT.query_dimension(spark, CFG).select("task_name", "query_idx", "alternatives", "exclude_hosts", "top_k")
-    h = HT.first_per_url(HT.valid_hits(HT.keyword_hits(b, qdim), CFG.blocked_host_tokens).select("task_name", "query_idx", "normalized_url", "src_pos"))
+    h = HT.first_per_url(HT.valid_hits(HT.keyword_hits(b, CFG), CFG.blocked_host_tokens).select("task_name", "query_idx", "normalized_url", "src_pos"))
     return positions(h, ["task_name", "query_idx"], [F.col("src_pos")], "rank").select("task_name", "query_idx", "normalized_url", "rank")
 
 
