@@ -5,7 +5,7 @@ texts each token occurs.  A token's rate of toxic texts has a Dirichlet prior
 whose mean is the rate of the tokens that share its first letters (inflected
 and unseen forms), whose prior in turn has the rate of all tokens.  Its score
 is the log-odds of that rate against the rate of all tokens, less DRIFT, so
-that neutral text has a negative expected score.
+that neutral text has a negative expected score; a token said again at once scores as neutral.
 
 A text is scanned once in linear time for all its maximal scoring segments
 (every segment that no longer one improves and no shorter part exceeds).
@@ -40,7 +40,7 @@ THRESHOLD = 0.3
 MIN_TEXTS = 3
 BEGINNING = 4
 PRIOR = 5.0
-DRIFT = 1.0
+DRIFT = 2.0
 PASSAGE = 1e-3
 TOKEN = r"[\p{L}\p{N}]+"
 SEGMENTS = "array<struct<first_token:int,last_token:int,score:double,p_value:double>>"
@@ -79,8 +79,12 @@ class Scores:
     def of(self, found: list[str]) -> np.ndarray:
         get, begin = self.words.get, self.beginnings.get
         memo: dict[str, float] = {}
-        out = []
+        out, past = [], None
         for token in found:
+            if token == past:  # a run of one token is one occurrence
+                out.append(-DRIFT)
+                continue
+            past = token
             score = memo.get(token)
             if score is None:
                 score = get(token)
