@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import exact_dedup, langid, mixing, packing, simhash, toxicity
+from . import exact_dedup, langid, mixing, packing, simhash, substring_dedup, topk, toxicity
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,6 +29,14 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.predict(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup(read_table(spark, sf_dir, "documents"))
+
+
+def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % topk.EVERY == 0)
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read_table(spark, sf_dir, "documents"))
 
@@ -39,10 +48,12 @@ def queries() -> dict:
         op5_language_id,
         op6_simhash_near_dedup,
         op7_toxicity,
+        op8_substring_dedup,
+        op9_exact_top_k,
         op10_exact_dedup,
     )
     return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mixing": mixing.ORACLE_SQL, "op10_exact_dedup": exact_dedup.ORACLE_SQL}
+    return {"op3_mixing": mixing.ORACLE_SQL, "op9_exact_top_k": topk.ORACLE_SQL, "op10_exact_dedup": exact_dedup.ORACLE_SQL}
