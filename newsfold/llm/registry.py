@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import exact_dedup, langid, mixing, packing, simhash, substring_dedup, topk, toxicity
+from . import exact_dedup, langid, mixing, packing, simhash, substring_dedup, suffix_dedup, topk, toxicity
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents"))
 
 
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup(read_table(spark, sf_dir, "documents"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(read_table(spark, sf_dir, "documents"))
 
@@ -45,6 +49,7 @@ def queries() -> dict:
     own = (
         op2_best_fit_packing,
         op3_mixing,
+        op4_suffix_array_dedup,
         op5_language_id,
         op6_simhash_near_dedup,
         op7_toxicity,
