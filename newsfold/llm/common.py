@@ -4,6 +4,7 @@ mixing, and a compact form for sorted integers sent through a shuffle."""
 from __future__ import annotations
 
 import numpy as np
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,7 +40,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def planes(a: np.ndarray) -> bytes:
-    """Byte planes of an integer array: planes of equal bytes vanish in the shuffle's compression."""
+    """Byte planes of an integer array: planes of equal bytes vanish when compressed."""
     return np.ascontiguousarray(a.view(np.uint8).reshape(len(a), a.itemsize).T).tobytes()
 
 
@@ -49,9 +50,17 @@ def from_planes(data, dtype) -> np.ndarray:
     return np.ascontiguousarray(flat.T).reshape(-1).view(dtype)
 
 
+def pack(a: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(planes(a))
+
+
+def unpack(data, dtype) -> np.ndarray:
+    return from_planes(zstandard.ZstdDecompressor().decompress(data), dtype)
+
+
 def pack_sorted(keys: np.ndarray) -> bytes:
-    return planes(np.diff(keys, prepend=np.uint64(0)))
+    return pack(np.diff(keys, prepend=np.uint64(0)))
 
 
 def unpack_sorted(data) -> np.ndarray:
-    return np.cumsum(from_planes(data, np.uint64), dtype=np.uint64)
+    return np.cumsum(unpack(data, np.uint64), dtype=np.uint64)

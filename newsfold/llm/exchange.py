@@ -6,7 +6,7 @@ blocks of bounded size, once; a block asks about its sorted distinct 64-bit keys
 message per bucket (a range of keys), a bucket merges the messages of all
 blocks, and its answers go back in the order of the keys.  A key that fills a
 third of the corpus costs one entry per block.  Keys travel as differences in
-byte planes, which the shuffle's compression shortens to about five bytes.
+compressed byte planes, which take about five bytes a key.
 
 Blocks and buckets grow in number, not in size, with the corpus.  All rounds of an operator
 form one plan over one shuffle of the texts, which Spark reuses for each round

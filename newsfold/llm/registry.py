@@ -6,7 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import exact_dedup, langid, mixing, packing, simhash, substring_dedup, suffix_dedup, topk, toxicity
+from . import exact_dedup, langid, lm_score, mixing, packing, simhash, substring_dedup, suffix_dedup, topk, toxicity
+
+
+def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score(read_table(spark, sf_dir, "documents"))
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,6 +51,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     own = (
+        op1_lm_score,
         op2_best_fit_packing,
         op3_mixing,
         op4_suffix_array_dedup,
@@ -61,4 +66,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mixing": mixing.ORACLE_SQL, "op9_exact_top_k": topk.ORACLE_SQL, "op10_exact_dedup": exact_dedup.ORACLE_SQL}
+    return {"op1_lm_score": lm_score.ORACLE_SQL, "op3_mixing": mixing.ORACLE_SQL, "op9_exact_top_k": topk.ORACLE_SQL, "op10_exact_dedup": exact_dedup.ORACLE_SQL}
