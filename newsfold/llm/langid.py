@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 UNDETERMINED = "und"
 ORDER = 3
@@ -174,14 +175,17 @@ def train(docs: DataFrame, train_rows, per_language: int = DOCS_PER_LANGUAGE, la
     return Model({x: (gram[langs == x], n[langs == x]) for x in np.unique(langs).tolist()})
 
 
-def identify(docs: DataFrame, train_rows, **bounds) -> DataFrame:
-    """doc_id, lang_pred, score, bits_per_byte for every row of docs (doc_id, text, lang)."""
+def identify(docs: DataFrame, train_rows, keep: list[str] | None = None, **bounds) -> DataFrame:
+    """The columns to keep (by default doc_id), lang_pred, score and bits_per_byte for every row of docs (doc_id, text, lang)."""
     model = train(docs, train_rows, **bounds)
+    kept = docs.select(*[F.col(c) for c in keep or ["doc_id"]])
+    added = T.StructType().add("lang_pred", "string").add("score", "double").add("bits_per_byte", "double")
+    letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
 
     def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
-            known = batch.column(2).to_numpy(zero_copy_only=False).astype(bool) & (model is not None)
+            texts = [t or b"" for t in batch.column(0).cast(pa.binary()).to_pylist()]
+            known = batch.column(1).to_numpy(zero_copy_only=False).astype(bool) & (model is not None)
             names, score, rate = np.full(len(texts), UNDETERMINED, object), np.zeros(len(texts)), np.zeros(len(texts))
             at = np.flatnonzero(known)
             if len(at):
@@ -189,12 +193,11 @@ def identify(docs: DataFrame, train_rows, **bounds) -> DataFrame:
                 names[at] = np.array(model.languages, object)[bits.argmin(axis=1)]
                 score[at] = 1 / np.exp2(np.maximum(bits.min(axis=1, keepdims=True) - bits, -1000)).sum(axis=1)
                 rate[at] = bits.min(axis=1) / [len(texts[i]) for i in at]
-            yield pa.record_batch([batch.column(0), pa.array(names, pa.string()), pa.array(score), pa.array(rate)], ["doc_id", "lang_pred", "score", "bits_per_byte"])
+            columns = [*batch.columns[2:], pa.array(names, pa.string()), pa.array(score), pa.array(rate)]
+            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[2:], *added.names])
 
-    letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    return docs.select(F.col("doc_id").cast("long"), "text", letters.alias("letters")).mapInArrow(
-        predicted, "doc_id long, lang_pred string, score double, bits_per_byte double"
-    )
+    rows = docs.select(F.col("text").alias("_text"), letters.alias("_letters"), *kept.columns)
+    return rows.mapInArrow(predicted, T.StructType([*kept.schema.fields, *added.fields]))
 
 
 def held_out() -> "F.Column":
