@@ -16,8 +16,7 @@ and only that slice is sorted by row.
 Targets: sources in code-point order, null last, weigh 3, 1, 2, repeating;
 they share the budget of 150 % of all words; a target stops at twice its
 source's words and what it leaves is shared out again by weight, until none
-is above.  Null text has no words; documents without words are never short
-of their share and take 0.  Rows that repeat an id are separate documents.
+is above.  Null text has no words; documents without words are not taken.  Rows that repeat an id are separate documents.
 """
 
 from __future__ import annotations
@@ -96,7 +95,7 @@ def mix(
     copies = [
         F.when((f < F.lit(last[0])) | ((f == F.lit(last[0])) & (F.col("place") <= F.lit(last[1]))), 1).otherwise(0) for f in finish
     ]
-    total = sum(copies[1:], copies[0]).cast("long")
+    total = F.when(F.col("size") > 0, sum(copies[1:], copies[0])).otherwise(0).cast("long")
     return queued.select("doc_id", "size", "source_size", "target", (F.col("size") * total).alias("taken"), total.alias("copies"))
 
 

@@ -33,10 +33,11 @@ from .common import cut
 SEQUENCE = 1024
 END_ID = 2
 PIECES_PER_SLICE = 20_000
-#: A sum of two or three takes this share of what is available, and only lengths from FILLER on: what stays back
-#: lets the best-fit step close the gaps of lengths that have no exact complement.
+#: A sum of two or three takes this share of what is available, and only lengths from a floor on: what stays back
+#: lets the best-fit step close the gaps of lengths that have no exact complement.  Which floor
+#: serves best depends on the lengths, so the plan is made with each (of a sequence's length) and the shortest is taken.
 SHARE = 0.5
-FILLER = 150
+FLOORS = (0.15, 0.25, 0.35, 1.0)
 VOCABULARY = "byte_bpe_50k"
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -102,8 +103,13 @@ def pieces(docs: DataFrame, sequence: int, end_id: int, vocabulary: str, folder:
 class Plan:
     """Runs over the pieces of each length, made from the number of pieces per length."""
 
-    def __init__(self, counts: dict[int, int], sequence: int) -> None:
+    @classmethod
+    def shortest(cls, counts: dict[int, int], sequence: int) -> Plan:
+        return min((cls(counts, sequence, floor) for floor in FLOORS), key=lambda plan: plan.sequences)
+
+    def __init__(self, counts: dict[int, int], sequence: int, floor: float) -> None:
         self.sequence = sequence
+        self.floor = max(1, int(floor * sequence))
         self.left = np.zeros(sequence + 1, np.int64)
         for length, n in counts.items():
             self.left[length] = n
@@ -141,15 +147,15 @@ class Plan:
             self._consume((length, full - length))
         for length in range(full // 3, full):  # a sum of two; length is the largest of the sequence's lengths
             gap = full - length
-            for a in range((gap + 1) // 2, min(length, gap - FILLER) + 1):
+            for a in range((gap + 1) // 2, min(length, gap - self.floor) + 1):
                 if self.left[length] and self.left[a] and self.left[gap - a]:
                     self._consume((length, a, gap - a), SHARE)
         for length in range(full // 4, full):  # a sum of three
             gap = full - length
-            for a in range((gap + 2) // 3, min(length, gap - 2 * FILLER) + 1):
+            for a in range((gap + 2) // 3, min(length, gap - 2 * self.floor) + 1):
                 if self.left[length] and self.left[a]:
                     rest = gap - a
-                    b = np.arange((rest + 1) // 2, min(a, rest - FILLER) + 1)
+                    b = np.arange((rest + 1) // 2, min(a, rest - self.floor) + 1)
                     for x in b[(self.left[b] > 0) & (self.left[rest - b] > 0)].tolist():
                         self._consume((length, a, x, rest - x), SHARE)
         self._best_fit()
@@ -213,7 +219,7 @@ def pack(
     folder holds the vocabulary's files on every executor; by default the installed public ones."""
     found = cut(pieces(docs, sequence, end_id, vocabulary, folder, id_col, text_col))
     counts = {r["length"]: r["n"] for r in found.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row per length
-    runs = Plan(counts, sequence).by_length()
+    runs = Plan.shortest(counts, sequence).by_length()
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
