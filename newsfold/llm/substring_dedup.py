@@ -90,7 +90,8 @@ class Windows:
 
     def _doubled(self, hashes: np.ndarray, step: int, salt: int) -> np.ndarray:
         out = np.zeros_like(hashes)
-        out[: len(hashes) - step] = _joined(hashes[: len(hashes) - step], hashes[step:], salt)
+        n = max(0, len(hashes) - step)
+        out[:n] = _joined(hashes[:n], hashes[len(hashes) - n :], salt)
         return out
 
     def second_hashes(self) -> np.ndarray:
