@@ -31,7 +31,8 @@ def test_stages(spark):
     named = stages["language_id"](spark, docs, None)
     assert named.columns == columns
     kept = Counter(held(named))
-    assert kept == Counter((d, t) for d, t, *_ in corpus() if any(c.isalpha() for c in t or ""))
+    foreign = {15}  # in letters that no training text has
+    assert kept == Counter((d, t) for d, t, *_ in corpus() if any(c.isalpha() for c in t or "") and d not in foreign)
 
     exact = stages["exact_dedup"](spark, named, None).localCheckpoint()
     assert exact.columns == columns
