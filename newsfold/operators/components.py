@@ -7,8 +7,7 @@ its label's label (pointer jumping), so a long chain needs logarithmically many
 rounds instead of one per hop.  Only nodes that carry an edge take part; isolated pages
 keep their own label.  Each round's labels are cut from the lineage with a
 reliable ``checkpoint()`` (into ``spark.checkpoint.dir``), so a lost executor
-recomputes at most one round.  The loop is bounded and fails loudly when it
-does not converge.
+recomputes at most one round.  Rounds go on while a label falls, so they end.
 
 The label of a component is its smallest seq, i.e. the earliest page, which is
 also the cluster's position in creation order.
@@ -22,10 +21,9 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 
 GROUP = ["run_id", "task_name"]
-MAX_ROUNDS = 64
 
 
-def component_labels(nodes: DataFrame, edges: DataFrame, max_rounds: int = MAX_ROUNDS) -> DataFrame:
+def component_labels(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """nodes: run_id, task_name, seq; edges: run_id, task_name, a, b.
     Returns run_id, task_name, seq, label."""
     ensure_checkpoint_dir(nodes.sparkSession)
@@ -37,7 +35,7 @@ def component_labels(nodes: DataFrame, edges: DataFrame, max_rounds: int = MAX_R
     )
     labels = sym.groupBy(*GROUP, F.col("src").alias("seq")).agg(F.min("dst").alias("nb"))
     labels = labels.select(*GROUP, "seq", F.least("seq", "nb").alias("label")).checkpoint()
-    for _ in range(max_rounds):
+    while True:
         proposals = labels.withColumnRenamed("seq", "src").join(sym, [*GROUP, "src"]).select(
             *GROUP, F.col("dst").alias("seq"), "label"
         )
@@ -53,12 +51,9 @@ def component_labels(nodes: DataFrame, edges: DataFrame, max_rounds: int = MAX_R
             .select(*GROUP, "seq", F.least("label", F.coalesce("grand", "label")).alias("label"), "old")
             .checkpoint()
         )
-        changed = merged.filter(F.col("label") < F.col("old")).limit(1).count()
         labels = merged.drop("old")
-        if changed == 0:
+        if merged.filter(F.col("label") < F.col("old")).isEmpty():
             break
-    else:
-        raise RuntimeError(f"component labels did not converge in {max_rounds} rounds")
     return nodes.select(*GROUP, "seq").join(labels, [*GROUP, "seq"], "left").select(
         *GROUP, "seq", F.coalesce(F.col("label"), F.col("seq")).alias("label")
     )

@@ -77,77 +77,128 @@ def signature_edges(classes: DataFrame) -> DataFrame:
     )
 
 
+def _token_rows(rows: DataFrame, set_col: str, extra: list[str]) -> DataFrame:
+    """One row per class and token: id, n (tokens of the class), tok."""
+    base = rows.select(*GROUP, *extra, F.col("class_seq").alias("id"), F.size(set_col).alias("n"), set_col)
+    return base.select(*GROUP, *extra, "id", "n", F.explode(set_col).alias("tok"))
+
+
+def _prefix_rows(toks: DataFrame, freq: DataFrame, pct: int) -> DataFrame:
+    """The rarest tokens of each class, so many that any set that shares pct/100
+    of the class's tokens holds one of them; pos counts from the rarest."""
+    need = F.floor((F.col("n") * F.lit(pct) + F.lit(99)) / F.lit(100))
+    order = Window.partitionBy(*GROUP, "id").orderBy("df", "tok")
+    ranked = toks.join(freq, [*GROUP, "tok"]).withColumn("pos", F.row_number().over(order))
+    return ranked.filter(F.col("pos") <= F.col("n") - need + F.lit(1)).drop("df")
+
+
+def _frequencies(toks: DataFrame) -> DataFrame:
+    return toks.groupBy(*GROUP, "tok").agg(F.count(F.lit(1)).alias("df"))
+
+
+def _meet(prefix: DataFrame, full: DataFrame, extra: list[str]) -> DataFrame:
+    """Pairs a (smaller set), b of a prefix and the sets that hold one of its tokens."""
+    a = prefix.select(*GROUP, *extra, "tok", F.col("id").alias("a"), F.col("n").alias("a_n"))
+    b = full.select(*GROUP, *extra, "tok", F.col("id").alias("b"), F.col("n").alias("b_n"))
+    return a.join(b, [*GROUP, *extra, "tok"])
+
+
 def prefix_candidates(rows: DataFrame, set_col: str, pct: int, extra_keys=()) -> DataFrame:
     """Candidate pairs (a, b), a < b, that may reach overlap >= pct/100 on
     ``set_col`` (exact superset of the qualifying pairs)."""
     extra = list(extra_keys)
-    base = rows.select(*GROUP, *extra, F.col("class_seq").alias("id"), F.size(set_col).alias("n"), set_col)
-    toks = base.select(*GROUP, *extra, "id", "n", F.explode(set_col).alias("tok"))
-    freq = toks.groupBy(*GROUP, "tok").agg(F.count(F.lit(1)).alias("df"))
-    ranked = toks.join(freq, [*GROUP, "tok"]).withColumn(
-        "pos", F.row_number().over(Window.partitionBy(*GROUP, "id").orderBy("df", "tok"))
-    )
-    need = F.floor((F.col("n") * F.lit(pct) + F.lit(99)) / F.lit(100))
-    prefix = ranked.filter(F.col("pos") <= F.col("n") - need + F.lit(1)).select(
-        *GROUP, *extra, "tok", F.col("id").alias("a_id"), F.col("n").alias("a_n")
-    )
-    full = toks.select(*GROUP, *extra, "tok", F.col("id").alias("b_id"), F.col("n").alias("b_n"))
-    cand = prefix.join(full, [*GROUP, *extra, "tok"]).filter(
-        (F.col("a_n") < F.col("b_n")) | ((F.col("a_n") == F.col("b_n")) & (F.col("a_id") < F.col("b_id")))
-    )
-    return cand.select(
-        *GROUP,
-        F.least("a_id", "b_id").alias("a"),
-        F.greatest("a_id", "b_id").alias("b"),
-    ).distinct()
+    toks = _token_rows(rows, set_col, extra)
+    pairs = _meet(_prefix_rows(toks, _frequencies(toks), pct), toks, extra)
+    smaller = (F.col("a_n") < F.col("b_n")) | ((F.col("a_n") == F.col("b_n")) & (F.col("a") < F.col("b")))
+    return pairs.filter(smaller).select(*GROUP, F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def prefix_candidates_between(rows: DataFrame, others: DataFrame, set_col: str, pct: int, extra_keys=()) -> DataFrame:
+    """Candidate pairs (a of others, b of rows) by the smaller side's prefix."""
+    extra = list(extra_keys)
+    toks, their = _token_rows(rows, set_col, extra), _token_rows(others, set_col, extra)
+    freq = _frequencies(toks.unionByName(their))
+    ours = _meet(_prefix_rows(toks, freq, pct), their, extra).filter("a_n <= b_n")
+    theirs = _meet(_prefix_rows(their, freq, pct), toks, extra).filter("a_n < b_n")
+    pairs = ours.select(*GROUP, F.col("b").alias("a"), F.col("a").alias("b")).union(theirs.select(*GROUP, "a", "b"))
+    return pairs.distinct()
+
 
+def _with_sides(pairs: DataFrame, classes: DataFrame, others: DataFrame | None = None) -> DataFrame:
+    def side(table, name):
+        return table.select(*GROUP, F.col("class_seq").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in ("tokens", "title_tokens", "version")])
 
-def _with_sides(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    side = classes.select(*GROUP, "class_seq", "tokens", "title_tokens", "version")
-    a = side.select(*GROUP, F.col("class_seq").alias("a"), *[F.col(c).alias("a_" + c) for c in ("tokens", "title_tokens", "version")])
-    b = side.select(*GROUP, F.col("class_seq").alias("b"), *[F.col(c).alias("b_" + c) for c in ("tokens", "title_tokens", "version")])
-    return pairs.join(a, [*GROUP, "a"]).join(b, [*GROUP, "b"])
+    return pairs.join(side(classes if others is None else others, "a"), [*GROUP, "a"]).join(side(classes, "b"), [*GROUP, "b"])
 
 
 def _inter(x: str, y: str):
     return F.size(F.array_intersect(x, y))
 
 
+def _overlaps(set_col: str, pct: int):
+    a, b = f"a_{set_col}", f"b_{set_col}"
+    return X.overlap_at_least(_inter(a, b), F.size(a), F.size(b), pct)
+
+
+def _m2():
+    return _overlaps("tokens", K.TOKEN_OVERLAP_PCT)
+
+
+def _m3():
+    named = F.filter(F.array_intersect("a_title_tokens", "b_title_tokens"), lambda t: ~X.is_pure_version(t))
+    return (F.col("a_version") == F.col("b_version")) & _overlaps("title_tokens", K.VERSION_TITLE_OVERLAP_PCT) & (F.size(named) > 0)
+
+
+def _m4():
+    return _overlaps("title_tokens", K.TITLE_OVERLAP_PCT) & _overlaps("tokens", K.TITLE_TOKEN_OVERLAP_PCT)
+
+
+#: Per rule: the set whose prefixes find candidates, its least overlap, further equal columns, the check.
+_PAIR_RULES = {
+    "m2": ("tokens", K.TOKEN_OVERLAP_PCT, (), _m2),
+    "m3": ("title_tokens", K.VERSION_TITLE_OVERLAP_PCT, ("version",), _m3),
+    "m4": ("title_tokens", K.TITLE_OVERLAP_PCT, (), _m4),
+}
+
+
+def _eligible(rule: str, classes: DataFrame) -> DataFrame:
+    return classes.filter(F.col("version") != "") if rule == "m3" else classes
+
+
+def _rule_pairs(rule: str, classes: DataFrame) -> DataFrame:
+    set_col, pct, extra, check = _PAIR_RULES[rule]
+    cand = prefix_candidates(_eligible(rule, classes), set_col, pct, extra)
+    return _with_sides(cand, classes).filter(check()).select(*GROUP, "a", "b", F.lit(rule).alias("rule"))
+
+
 def token_edges(classes: DataFrame) -> DataFrame:
     """M2 (C4)."""
-    cand = prefix_candidates(classes, "tokens", K.TOKEN_OVERLAP_PCT)
-    v = _with_sides(cand, classes)
-    ok = X.overlap_at_least(_inter("a_tokens", "b_tokens"), F.size("a_tokens"), F.size("b_tokens"), K.TOKEN_OVERLAP_PCT)
-    return v.filter(ok).select(*GROUP, "a", "b", F.lit("m2").alias("rule"))
+    return _rule_pairs("m2", classes)
 
 
 def version_edges(classes: DataFrame) -> DataFrame:
     """M3 (C5, O4, X10)."""
-    versioned = classes.filter(F.col("version") != "")
-    cand = prefix_candidates(versioned, "title_tokens", K.VERSION_TITLE_OVERLAP_PCT, extra_keys=("version",))
-    v = _with_sides(cand, classes)
-    shared_named = F.filter(F.array_intersect("a_title_tokens", "b_title_tokens"), lambda t: ~X.is_pure_version(t))
-    ok = (
-        (F.col("a_version") == F.col("b_version"))
-        & X.overlap_at_least(
-            _inter("a_title_tokens", "b_title_tokens"),
-            F.size("a_title_tokens"),
-            F.size("b_title_tokens"),
-            K.VERSION_TITLE_OVERLAP_PCT,
-        )
-        & (F.size(shared_named) > 0)
-    )
-    return v.filter(ok).select(*GROUP, "a", "b", F.lit("m3").alias("rule"))
+    return _rule_pairs("m3", classes)
 
 
 def title_edges(classes: DataFrame) -> DataFrame:
     """M4 (C6)."""
-    cand = prefix_candidates(classes, "title_tokens", K.TITLE_OVERLAP_PCT)
-    v = _with_sides(cand, classes)
-    ok = X.overlap_at_least(
-        _inter("a_title_tokens", "b_title_tokens"), F.size("a_title_tokens"), F.size("b_title_tokens"), K.TITLE_OVERLAP_PCT
-    ) & X.overlap_at_least(_inter("a_tokens", "b_tokens"), F.size("a_tokens"), F.size("b_tokens"), K.TITLE_TOKEN_OVERLAP_PCT)
-    return v.filter(ok).select(*GROUP, "a", "b", F.lit("m4").alias("rule"))
+    return _rule_pairs("m4", classes)
+
+
+def rule_edges(classes: DataFrame) -> DataFrame:
+    """Pairs a < b of classes that M2, M3 or M4 joins."""
+    return token_edges(classes).unionByName(version_edges(classes)).unionByName(title_edges(classes))
+
+
+def links_between(classes: DataFrame, others: DataFrame) -> DataFrame:
+    """class_seq, label: the pairs of a class and another table's class that M2, M3 or M4 joins."""
+    found = None
+    for rule, (set_col, pct, extra, check) in _PAIR_RULES.items():
+        cand = prefix_candidates_between(_eligible(rule, classes), _eligible(rule, others), set_col, pct, extra)
+        pairs = _with_sides(cand, classes, others).filter(check()).select(*GROUP, F.col("b").alias("class_seq"), F.col("a").alias("label"))
+        found = pairs if found is None else found.union(pairs)
+    return found
 
 
 def merge_edges(features: DataFrame, input_is_cut: bool = False) -> DataFrame:
@@ -158,16 +209,7 @@ def merge_edges(features: DataFrame, input_is_cut: bool = False) -> DataFrame:
     # five rule branches read the class table; one reliable checkpoint keeps
     # them from recomputing the features upstream five times
     classes = classes.checkpoint()
-    parts = [
-        copy_edges(members),
-        signature_edges(classes),
-        token_edges(classes),
-        version_edges(classes),
-        title_edges(classes),
-    ]
-    edges = parts[0]
-    for p in parts[1:]:
-        edges = edges.unionByName(p)
+    edges = copy_edges(members).unionByName(signature_edges(classes)).unionByName(rule_edges(classes))
     return edges.groupBy(*GROUP, "a", "b").agg(
         F.array_join(F.array_sort(F.collect_set("rule")), ",").alias("rules")
     )

@@ -26,6 +26,7 @@ from ..operators import similarity as S
 from ..operators.components import component_labels
 from ..operators.dedup import dedupe_pages, url_dedup
 from ..operators.features import page_features
+from ..operators.leader import leader_labels
 from ..operators.pages import page_base, pages_as_resolved
 from ..operators.replies import parse_replies, render_replies
 from ..operators.resolve import resolve_hits
@@ -768,30 +769,19 @@ def k2_markdown(spark, sf):
     return RP.markdown_rows(ranked, srcs, CFG.run_ts).select("task_name", "cluster_id", "part", "seq", "text")
 
 
-# ================================================================ C1 leader (no SQL oracle: iterative)
+# ================================================================ C1 leader
 
 
-@register("c1_leader", None)
+@register("c1_leader", _sqlr(CORPUS + O.edge_ctes() + O.leader_ctes(), "SELECT seq, label FROM labels"))
 def c1_leader(spark, sf):
-    from ..operators.leader import leader_labels
-
-    f = _features(spark, sf).checkpoint()
-    return leader_labels(f, S.merge_edges(f, input_is_cut=True).checkpoint()).select("seq", "label")
-
-
-@register("c1_sequential", None)
-def c1_sequential(spark, sf):
-    """C1 exact mode on the run's hits: every task's pages are bounded by
-    queries x top_k, which ``auto`` checks before choosing it."""
-    res = run_triage(spark, _pages(spark, sf), CFG, cluster_mode="auto")  # -> sequential
-    return res.labels.select("task_name", "seq", "label")
+    return leader_labels(_features(spark, sf).checkpoint()).select("seq", "label")
 
 
 # ================================================================ Q1
 
 
 def _q1_sql():
-    ctes = HITS + O.resolve_ctes(CFG, "hits") + O.dedup_ctes("resolved") + O.feature_ctes() + O.edge_ctes() + O.component_ctes()
+    ctes = HITS + O.resolve_ctes(CFG, "hits") + O.dedup_ctes("resolved") + O.feature_ctes() + O.edge_ctes() + O.leader_ctes()
     ctes += O.cluster_ctes("final_event_cap")
     ctes = [c.replace("FROM summary)", "FROM (SELECT s.*, q.final_event_cap FROM summary s JOIN (SELECT DISTINCT task_name, final_event_cap FROM queries) q USING (task_name)))") if c.startswith("ordered AS") else c for c in ctes]
     return _sqlr(
@@ -803,7 +793,7 @@ def _q1_sql():
 
 @register("q1_triage", _q1_sql())
 def q1_triage(spark, sf):
-    return triage_report(run_triage(spark, _pages(spark, sf), CFG, cluster_mode="components"))
+    return triage_report(run_triage(spark, _pages(spark, sf), CFG))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

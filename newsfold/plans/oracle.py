@@ -380,6 +380,27 @@ def component_ctes() -> list[str]:
     ]
 
 
+def leader_ctes() -> list[str]:
+    """labels(run_id, task_name, seq, label): a recursive walk over the pages in
+    their order that carries the founders so far."""
+    return [
+        "pg AS (SELECT f.run_id, f.task_name, f.seq, f.signature, coalesce(c.class_seq, f.seq) AS class_seq, "
+        "row_number() OVER (ORDER BY f.run_id, f.task_name, f.seq) AS n FROM feat f LEFT JOIN cls_m c USING (run_id, task_name, seq))",
+        "joined AS (SELECT run_id, task_name, a, b FROM e_pairs WHERE m2 OR m3 OR m4)",
+        "near AS (SELECT x.n, y.n AS other FROM pg x JOIN pg y ON x.run_id = y.run_id AND x.task_name = y.task_name AND y.n < x.n "
+        "LEFT JOIN joined j ON j.run_id = x.run_id AND j.task_name = x.task_name "
+        "AND j.a = least(x.class_seq, y.class_seq) AND j.b = greatest(x.class_seq, y.class_seq) "
+        "WHERE x.class_seq = y.class_seq OR (x.signature <> '' AND x.signature = y.signature) OR j.a IS NOT NULL)",
+        "nb AS (SELECT pg.n, coalesce(list(near.other) FILTER (WHERE near.other IS NOT NULL), []) AS before FROM pg LEFT JOIN near USING (n) GROUP BY pg.n)",
+        "led(n, founders) AS (SELECT 0::BIGINT, []::BIGINT[] UNION ALL "
+        "SELECT nb.n, CASE WHEN len(list_intersect(led.founders, nb.before)) = 0 THEN list_append(led.founders, nb.n) ELSE led.founders END "
+        "FROM led JOIN nb ON nb.n = led.n + 1)",
+        "allf AS (SELECT arg_max(founders, n) AS founders FROM led)",
+        "labels AS (SELECT pg.run_id, pg.task_name, pg.seq, coalesce(f.seq, pg.seq) AS label FROM pg JOIN nb USING (n) CROSS JOIN allf "
+        "LEFT JOIN pg f ON f.n = list_min(list_intersect(allf.founders, nb.before)))",
+    ]
+
+
 def cluster_ctes(cap_expr: str) -> list[str]:
     """members, summary (C8/D4/D7/D8), ranked (T2/T3/W2) and srcs.
     ``cap_expr`` gives final_event_cap for a row of summary (column or literal)."""

@@ -39,7 +39,7 @@ def start_snapshot_runs(
     cfg: TaskConfig,
     out_dir: str,
     checkpoint_location: str | None = None,
-    cluster_mode: str = "auto",
+    cluster_mode: str = "leader",
     available_now: bool = True,
 ):
     """Start the streaming query; returns the ``StreamingQuery``."""

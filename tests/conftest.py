@@ -11,7 +11,7 @@ sys.path.insert(0, ROOT)
 def spark():
     from newsfold.session import get_spark
 
-    s = get_spark(master="local[4]", shuffle_partitions=8, app="newsfold-tests")
+    s = get_spark(master="local[2]", shuffle_partitions=8, app="newsfold-tests")
     yield s
     s.stop()
 
