@@ -95,17 +95,6 @@ DEFAULT_TOP_K = 10
 DEFAULT_EVENT_CAP = 12
 DEFAULT_MAX_CONTENT_CHARS = 4000
 
-# the seven shipped tasks: name, number of queries, top_k, event cap, max chars
-SHIPPED_TASKS = (
-    ("ai_agent", 14, 10, 20, 4000),
-    ("ai_agent_usecase", 14, 10, 20, 4000),
-    ("ai_model", 14, 10, 20, 4000),
-    ("con_tech", 27, 10, 20, 4000),
-    ("headhunter", 19, 10, 30, 3500),
-    ("international_affairs", 16, 10, 20, 4500),
-    ("selfmedia", 17, 10, 20, 4000),
-)
-
 # search-region cascade: first matching class wins, default us-en.  The four
 # Latin classes are the case-insensitive originals written out in full (the
 # Turkish one also matches plain i/I, as the original does).
@@ -226,5 +215,5 @@ MAIN_MIN_WORDS = 10             # a content block needs at least this many words
 MAIN_MAX_LINK_PCT = 33          # ... and at most this share of link text
 
 # fixed instant of a run (reports never use the wall clock in tested output)
-DEFAULT_RUN_TS = "2024-02-15 00:00:00"
+DEFAULT_RUN_TS = "2024-02-15T00:00:00+00:00"
 DEFAULT_RUN_ID = "run_2024_02_15_000000"

@@ -1,9 +1,10 @@
 """Deduplication (inventory D2, D3, J2, R3).
 
-Both steps are aggregations whose winner is ``max_by(row, score)`` with a
-lexicographic struct score, so Spark combines map-side (partial aggregation)
-before the shuffle: a canonical URL or a title key carried by a third of all
-rows never lands whole in one task.
+Both steps elect winners on narrow rows (keys, scores, positions) with
+``max_by`` over a lexicographic struct, so Spark combines map-side and a
+canonical URL or a title key carried by a third of all rows never lands whole
+in one task; page content is not part of these aggregations.  The surviving
+rows then get their content back by one join on their arrival position.
 
 D2: one row per canonical URL, greatest (domain_score, content_chars), ties
 to the earliest arrival; ``first_seen`` = the first sighting of the URL, which
@@ -24,17 +25,26 @@ from ..functions import text as X
 GROUP = ("run_id", "task_name")
 
 
-def url_dedup(resolved: DataFrame) -> DataFrame:
-    """D2.  Adds ``first_seen``."""
-    cols = [c for c in resolved.columns if c not in (*GROUP, "normalized_url")]
+def _url_winners(resolved: DataFrame) -> DataFrame:
+    """D2 without content: keys, arrival_seq, title, scores, first_seen."""
+    narrow = ["arrival_seq", "title", "domain_score", "content_chars"]
     score = F.struct("domain_score", "content_chars", (-F.col("arrival_seq")).alias("neg_seq"))
     agg = resolved.groupBy(*GROUP, "normalized_url").agg(
-        F.max_by(F.struct(*cols), score).alias("w"),
+        F.max_by(F.struct(*narrow), score).alias("w"),
         F.min("arrival_seq").alias("first_seen"),
     )
     return agg.select(*GROUP, "normalized_url", "w.*", "first_seen")
 
 
+def _rows_of(resolved: DataFrame, winners: DataFrame, *added: str) -> DataFrame:
+    return resolved.join(winners.select(*GROUP, "arrival_seq", *added), [*GROUP, "arrival_seq"])
+
+
+def url_dedup(resolved: DataFrame) -> DataFrame:
+    """D2.  Adds ``first_seen``.  ``arrival_seq`` is unique in a task."""
+    return _rows_of(resolved, _url_winners(resolved), "first_seen")
+
+
 def title_key_column(title, mode: str = "strict"):
     if mode == "strict":
         return X.title_key(title)
@@ -47,8 +57,8 @@ def title_key_column(title, mode: str = "strict"):
     raise ValueError(f"unknown title key mode {mode!r}")
 
 
-def title_dedup(urls: DataFrame, mode: str = "strict") -> DataFrame:
-    """D3 + J2 over D2 output.  Adds ``title_key``."""
+def _title_winners(urls: DataFrame, mode: str) -> DataFrame:
+    """D3 + J2 over D2 winners, without content."""
     keyed = urls.withColumn("title_key", title_key_column(F.col("title"), mode))
     if mode == "unicode":
         # pages without a key are kept as their own group
@@ -57,12 +67,18 @@ def title_dedup(urls: DataFrame, mode: str = "strict") -> DataFrame:
         )
     else:
         keyed = keyed.filter(F.col("title_key") != "").withColumn("_tk", F.col("title_key"))
-    cols = [c for c in keyed.columns if c not in (*GROUP, "_tk")]
     score = F.struct("domain_score", "content_chars", (-F.col("first_seen")).alias("neg_seen"))
-    agg = keyed.groupBy(*GROUP, "_tk").agg(F.max_by(F.struct(*cols), score).alias("w"))
+    agg = keyed.groupBy(*GROUP, "_tk").agg(F.max_by(F.struct("arrival_seq", "first_seen", "title_key"), score).alias("w"))
     return agg.select(*GROUP, "w.*")
 
 
+def title_dedup(urls: DataFrame, mode: str = "strict") -> DataFrame:
+    """D3 + J2 over D2 output.  Adds ``title_key``."""
+    return _rows_of(urls, _title_winners(urls, mode), "title_key")
+
+
 def dedupe_pages(resolved: DataFrame, mode: str = "strict") -> DataFrame:
-    """D2 then D3; ``seq`` = first_seen (unique per surviving page)."""
-    return title_dedup(url_dedup(resolved), mode).withColumn("seq", F.col("first_seen"))
+    """D2 then D3; adds ``first_seen``, ``title_key`` and ``seq`` = first_seen
+    (unique per surviving page)."""
+    winners = _title_winners(_url_winners(resolved), mode)
+    return _rows_of(resolved, winners, "first_seen", "title_key").withColumn("seq", F.col("first_seen"))

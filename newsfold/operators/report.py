@@ -3,7 +3,11 @@
 Reports are relations, not strings assembled on the driver:
 
 * K1 rows: one row per (reported cluster, source) with the cluster's JSON
-  fields; the JSON sink (``sources/sinks.py``) nests them.
+  fields.
+* K1 document: the JSON text as ordered blocks (task_name, cluster_id, part,
+  seq, text), one line per cluster head, source and closing bracket, so a
+  cluster of any size is never nested whole in one row.  A task without
+  clusters has a document with an empty list.
 * K2 rows: the Markdown document as ordered text blocks
   (task_name, cluster_id, part, seq, text); joining the blocks of a task in
   (cluster_id, part, seq) order with newlines gives the document.  The header
@@ -24,6 +28,8 @@ from pyspark.sql import functions as F
 from .. import constants as K
 
 GROUP = ["run_id", "task_name"]
+#: cluster_id of the block that ends a JSON document.
+JSON_END = (1 << 31) - 1
 
 
 def iso_ts(run_ts: str) -> str:
@@ -61,6 +67,52 @@ def json_rows(ranked: DataFrame, srcs: DataFrame, run_ts: str = K.DEFAULT_RUN_TS
     return head.join(s, [*GROUP, "cluster_id"]).withColumn("generated_at", F.lit(iso_ts(run_ts)))
 
 
+def _open_object(doc: Column, name: str) -> Column:
+    """JSON of a struct, left open at a list that follows as its last field."""
+    text = F.to_json(doc, {"ignoreNullFields": "false"})
+    return F.concat(F.regexp_replace(text, r"\}\z", ""), F.lit(f',"{name}":['))
+
+
+def json_blocks(ranked: DataFrame, srcs: DataFrame, task_names: DataFrame, run_ts: str) -> DataFrame:
+    """K1 document.  ``task_names`` (run_id, task_name): every task of the run."""
+    columns = [*GROUP, "cluster_id", "part", "seq", "text"]
+
+    def block(part: int, text: Column, seq: Column | None = None) -> list[Column]:
+        return [F.lit(part).alias("part"), (F.lit(0) if seq is None else seq).cast("long").alias("seq"), text.alias("text")]
+
+    counts = ranked.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("n"))
+    tasks = task_names.join(counts, GROUP, "left").select(*GROUP, F.coalesce("n", F.lit(0)).cast("long").alias("total_clusters"))
+    head = F.struct("task_name", F.lit(iso_ts(run_ts)).alias("generated_at"), "total_clusters")
+    cluster = F.struct(
+        F.col("cluster_id").cast("long").alias("id"),
+        F.col("rep.title").alias("title"),
+        F.col("rep.url").alias("url"),
+        F.col("rep.domain").alias("domain"),
+        F.col("rep.fetch_status").alias("status"),
+        F.col("rep.content_chars").cast("long").alias("content_chars"),
+        F.substring(F.col("rep.content"), 1, K.JSON_CONTENT_CHARS).alias("content"),
+        F.col("source_count").cast("long").alias("source_count"),
+    )
+    comma = F.when(F.col("cluster_id") > 1, F.lit(",")).otherwise(F.lit(""))
+    # the earliest source of a cluster has no comma before it
+    first = srcs.groupBy(*GROUP, "cluster_id").agg(F.min("seq").alias("first"))
+    source = F.to_json(F.struct("title", "url", "domain"), {"ignoreNullFields": "false"})
+    listed = srcs.join(first, [*GROUP, "cluster_id"])
+    source_comma = F.when(F.col("seq") > F.col("first"), F.lit(",")).otherwise(F.lit(""))
+    end = F.lit(JSON_END).cast("long").alias("cluster_id")
+    parts = [
+        tasks.select(*GROUP, F.lit(0).cast("long").alias("cluster_id"), *block(0, _open_object(head, "clusters"))),
+        ranked.select(*GROUP, F.col("cluster_id").cast("long"), *block(1, F.concat(comma, _open_object(cluster, "sources")))),
+        listed.select(*GROUP, F.col("cluster_id").cast("long"), *block(2, F.concat(source_comma, source), F.col("seq"))),
+        ranked.select(*GROUP, F.col("cluster_id").cast("long"), *block(3, F.lit("]}"))),
+        tasks.select(*GROUP, end, *block(4, F.lit("]}"))),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.select(*columns)
+
+
 def _preview(content: Column) -> Column:
     n = K.MARKDOWN_PREVIEW_CHARS
     return F.when(F.length(content) > n, F.concat(F.substring(content, 1, n), F.lit(K.MD_ELLIPSIS))).otherwise(content)

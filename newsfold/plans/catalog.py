@@ -33,7 +33,7 @@ from ..operators.resolve import resolve_hits
 from ..sources import tables
 from ..sources.tasks import PROSE_CONFIG
 from . import oracle as O
-from .triage import run_triage, triage_report
+from .triage import cluster_labels, run_triage, triage_report
 
 CFG = PROSE_CONFIG
 CORPUS_CAP = 20
@@ -302,13 +302,13 @@ def p6_keyword_match(spark, sf):
 
 # ================================================================ P5, N2 on events
 
-_P5_SQL = f"SELECT event_id, user_id, event_type FROM events WHERE ts >= TIMESTAMP '{CFG.run_ts}' - INTERVAL 1 MONTH"
+_P5_SQL = f"SELECT event_id, user_id, event_type FROM events WHERE ts >= TIMESTAMP '{CFG.run_ts[:19]}' - INTERVAL 1 MONTH"
 
 
 @register("p5_recency", _P5_SQL)
 def p5_recency(spark, sf):
     e = tables.events(spark, sf)
-    since = F.expr(f"TIMESTAMP_NTZ '{CFG.run_ts}' - INTERVAL 1 MONTH")
+    since = F.expr(f"TIMESTAMP_NTZ '{CFG.run_ts[:19]}' - INTERVAL 1 MONTH")
     return e.filter(F.col("ts") >= since).select("event_id", "user_id", "event_type")
 
 
@@ -664,21 +664,24 @@ def d7_cluster_signature(spark, sf):
     ),
 )
 def d8_stage_counts(spark, sf):
-    """Stage totals as (stage, n) rows, each a global aggregate."""
+    """Stage totals as (stage, n) rows, each a global aggregate over a cut stage of one run."""
     pages = _pages(spark, sf)
-    resolved = pages_as_resolved(pages)
-    summary = _corpus_clusters(spark, sf)[4]
+    resolved = pages_as_resolved(pages).checkpoint()
+    urls = url_dedup(resolved).select("arrival_seq")
+    feats = page_features(dedupe_pages(resolved)).checkpoint()
+    labels, _ = cluster_labels(feats, "components")
+    sizes = labels.groupBy("run_id", "task_name", "label").agg(F.count(F.lit(1)).alias("source_count"))
 
     def count(df, stage):
         return df.agg(F.count(F.lit(1)).cast("long").alias("n")).select(F.lit(stage).alias("stage"), "n")
 
     parts = [
-        count(pages, "pages"),
+        count(pages, "pages"),  # answered from the files' footers
         count(resolved, "resolved"),
-        count(url_dedup(resolved), "url_dedup"),
-        count(dedupe_pages(resolved), "title_dedup"),
-        count(summary, "clusters"),
-        count(summary.filter(F.col("source_count") > 1), "multi_source_clusters"),
+        count(urls, "url_dedup"),
+        count(feats, "title_dedup"),
+        count(sizes, "clusters"),
+        count(sizes.filter(F.col("source_count") > 1), "multi_source_clusters"),
         resolved.agg(F.sum("content_chars").cast("long").alias("n")).select(F.lit("content_chars").alias("stage"), "n"),
     ]
     out = parts[0]
@@ -724,6 +727,36 @@ def k1_json(spark, sf):
     return RP.json_rows(ranked, srcs, CFG.run_ts).drop("run_id")
 
 
+def _k1_document_sql():
+    ts = O.lit(CFG.run_ts)
+    head = "to_json({'task_name': task_name, 'generated_at': " + ts + ", 'total_clusters': n})"
+    cluster = (
+        "to_json({'id': cluster_id, 'title': rep_title, 'url': rep_url, 'domain': rep_domain, 'status': rep_status, "
+        f"'content_chars': rep_chars::BIGINT, 'content': substring(rep_content, 1, {K.JSON_CONTENT_CHARS}), 'source_count': source_count}})"
+    )
+
+    def left_open(doc, name):
+        return f"regexp_replace({doc}::VARCHAR, '\\}}$', '') || ',\"{name}\":['"
+
+    return _sqlr(
+        CLUSTERS,
+        f"SELECT task_name, 0::BIGINT AS cluster_id, 0::BIGINT AS part, 0::BIGINT AS seq, {left_open(head, 'clusters')} AS text "
+        "FROM (SELECT task_name, count(*) AS n FROM ranked GROUP BY task_name) "
+        f"UNION ALL SELECT task_name, cluster_id, 1, 0, CASE WHEN cluster_id > 1 THEN ',' ELSE '' END || {left_open(cluster, 'sources')} FROM ranked "
+        "UNION ALL SELECT task_name, cluster_id, 2, seq, CASE WHEN seq > min(seq) OVER (PARTITION BY task_name, cluster_id) THEN ',' ELSE '' END "
+        "|| to_json({'title': title, 'url': url, 'domain': domain})::VARCHAR FROM srcs "
+        "UNION ALL SELECT task_name, cluster_id, 3, 0, ']}' FROM ranked "
+        f"UNION ALL SELECT DISTINCT task_name, {RP.JSON_END}, 4, 0, ']}}' FROM ranked",
+    )
+
+
+@register("k1_document", _k1_document_sql())
+def k1_document(spark, sf):
+    feats, edges, labels, members, summary, ranked = _corpus_clusters(spark, sf)
+    names = ranked.select("run_id", "task_name").distinct()
+    return RP.json_blocks(ranked, C.sources(members, ranked), names, CFG.run_ts).drop("run_id")
+
+
 def _k2_sql():
     preview = (
         f"(CASE WHEN length(r.rep_content) > {K.MARKDOWN_PREVIEW_CHARS} THEN substring(r.rep_content, 1, {K.MARKDOWN_PREVIEW_CHARS}) || "

@@ -4,48 +4,19 @@ Every output is written by executors, partitioned by ``task_name`` and
 ``run_id`` (one run id per run, so the JSON and Markdown of a run share a name
 and tasks never overwrite each other, unlike a wall-clock file name per task).
 
-* K1 JSON: JSON lines, one object per (cluster, chunk of sources).  Sources are
-  nested in chunks of ``SOURCE_CHUNK`` so no cluster is gathered whole into one
-  row, whatever its size.
-* K2 Markdown: the ordered text blocks of ``report.markdown_rows`` written as
-  text after a global sort; reading the part files of a task in name order
-  gives the document.
+* K1 JSON: the ordered text blocks of ``report.json_blocks`` written as text
+  after a global sort; the part files of a task, in name order, are one JSON
+  document.
+* K2 Markdown: the blocks of ``report.markdown_rows``, written alike.
 * K3 stage tables: hits, resolved pages, deduplicated pages and clusters as
   Parquet.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SOURCE_CHUNK = 1000
-
-
-def json_documents(json_rows: DataFrame, chunk: int = SOURCE_CHUNK) -> DataFrame:
-    """K1 rows -> one JSON string per (cluster, chunk of sources)."""
-    # a coarse range of arrival positions splits a cluster before any
-    # per-group work; inside a range, sources are cut into chunks of ``chunk``
-    w = Window.partitionBy("run_id", "task_name", "cluster_id", "chunk").orderBy("source_seq")
-    keyed = json_rows.withColumn("chunk", F.floor(F.col("source_seq") / F.lit(1 << 20))).withColumn(
-        "sub", F.floor((F.row_number().over(w) - 1) / F.lit(chunk))
-    )
-    cluster_cols = ["cluster_id", "title", "url", "domain", "status", "content_chars", "content", "source_count"]
-    grouped = keyed.groupBy("run_id", "task_name", "generated_at", "total_clusters", *cluster_cols, "chunk", "sub").agg(
-        F.array_sort(
-            F.collect_list(F.struct("source_seq", F.col("source_title").alias("title"), F.col("source_url").alias("url"), F.col("source_domain").alias("domain")))
-        ).alias("src")
-    )
-    doc = F.struct(
-        "task_name",
-        "generated_at",
-        "total_clusters",
-        F.struct(*[F.col(c).alias("id" if c == "cluster_id" else c) for c in cluster_cols]).alias("cluster"),
-        F.transform("src", lambda s: F.struct(s["title"].alias("title"), s["url"].alias("url"), s["domain"].alias("domain"))).alias("sources"),
-    )
-    return grouped.select("run_id", "task_name", "cluster_id", "chunk", "sub", F.to_json(doc, {"ignoreNullFields": "false"}).alias("value"))
-
-
 def _writer(df: DataFrame, mode: str):
     # dynamic partition overwrite replaces only the (task_name, run_id)
     # partitions being written: other runs stay, and a retried run (a
@@ -54,14 +25,17 @@ def _writer(df: DataFrame, mode: str):
     return df.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("task_name", "run_id")
 
 
-def write_json_report(json_rows: DataFrame, path: str, mode: str = "overwrite") -> None:
-    docs = json_documents(json_rows).orderBy("task_name", "run_id", "cluster_id", "chunk", "sub")
-    _writer(docs.select("task_name", "run_id", "value"), mode).text(path)
+def _write_blocks(blocks: DataFrame, path: str, mode: str) -> None:
+    ordered = blocks.orderBy("task_name", "run_id", "cluster_id", "part", "seq")
+    _writer(ordered.select("task_name", "run_id", F.col("text").alias("value")), mode).text(path)
+
+
+def write_json_report(json_blocks: DataFrame, path: str, mode: str = "overwrite") -> None:
+    _write_blocks(json_blocks, path, mode)
 
 
 def write_markdown_report(markdown_rows: DataFrame, path: str, mode: str = "overwrite") -> None:
-    ordered = markdown_rows.orderBy("task_name", "run_id", "cluster_id", "part", "seq")
-    _writer(ordered.select("task_name", "run_id", F.col("text").alias("value")), mode).text(path)
+    _write_blocks(markdown_rows, path, mode)
 
 
 def write_stage_tables(result, path: str, mode: str = "overwrite") -> None:

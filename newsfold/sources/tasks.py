@@ -13,18 +13,15 @@ runs, which is what lets joins broadcast it behind an explicit size check.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import uuid
+from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from .. import constants as K
 
-# A broadcast side must stay well below the executor's broadcast budget; the
-# query dimension is a few bytes per phrase, so this bound is generous.
-MAX_BROADCAST_QUERIES = 200_000
-
-
 @dataclass(frozen=True)
 class Query:
     text: str
@@ -44,11 +41,21 @@ class Task:
 
 @dataclass(frozen=True)
 class TaskConfig:
+    """Tasks of a run.  run_id and run_ts (ISO time with offset) identify the
+    run; where they are not given, the clock sets them once, when the
+    configuration is made."""
+
     tasks: tuple
     blocked_host_tokens: tuple = ()
-    run_id: str = K.DEFAULT_RUN_ID
-    run_ts: str = K.DEFAULT_RUN_TS
-    extra: dict = field(default_factory=dict)
+    run_id: str | None = None
+    run_ts: str | None = None
+
+    def __post_init__(self) -> None:
+        now = datetime.now().astimezone()
+        if self.run_ts is None:
+            object.__setattr__(self, "run_ts", now.isoformat(timespec="seconds"))
+        if self.run_id is None:
+            object.__setattr__(self, "run_id", f"run_{now:%Y_%m_%d_%H%M%S}_{uuid.uuid4().hex[:8]}")
 
     @property
     def n_queries(self) -> int:
@@ -63,12 +70,6 @@ class TaskConfig:
         """Upper bound of ranked hits over all tasks (sum of queries x top_k)."""
         return sum(len(t.queries) * t.top_k for t in self.tasks)
 
-    def check_broadcastable(self) -> None:
-        if self.n_queries > MAX_BROADCAST_QUERIES:
-            raise ValueError(
-                f"{self.n_queries} queries exceed the broadcast bound {MAX_BROADCAST_QUERIES}"
-            )
-
 
 TASK_SCHEMA = T.StructType(
     [
@@ -101,7 +102,6 @@ def tasks_df(spark: SparkSession, cfg: TaskConfig) -> DataFrame:
 
 
 def queries_df(spark: SparkSession, cfg: TaskConfig) -> DataFrame:
-    cfg.check_broadcastable()
     rows = []
     for t in cfg.tasks:
         for i, q in enumerate(t.queries):
@@ -110,10 +110,32 @@ def queries_df(spark: SparkSession, cfg: TaskConfig) -> DataFrame:
     return spark.createDataFrame(rows, QUERY_SCHEMA)
 
 
-def shipped_tasks_df(spark: SparkSession) -> DataFrame:
-    """The seven shipped tasks with their query counts and caps."""
-    schema = "task_name string, n_queries int, top_k int, final_event_cap int, max_content_chars int"
-    return spark.createDataFrame(list(K.SHIPPED_TASKS), schema)
+#: Schema of a configuration file: one row per task.
+CONFIG_SCHEMA = (
+    "name string, top_k int, final_event_cap int, max_content_chars int, queries array<struct<text: string, "
+    "alternatives: array<array<array<string>>>, exclude_hosts: array<string>, primary_fails: boolean>>"
+)
+
+
+def read_config(spark: SparkSession, path: str, format: str = "json", **run) -> TaskConfig:
+    """Tasks from JSON lines or Parquet (``CONFIG_SCHEMA``), in the order of
+    their names; missing caps take the defaults.  ``run``: the further fields
+    of ``TaskConfig``."""
+    rows = spark.read.schema(CONFIG_SCHEMA).format(format).load(path).orderBy("name").collect()  # configuration
+    tasks = []
+    for r in rows:
+        queries = tuple(
+            Query(
+                q["text"],
+                tuple(tuple(tuple(c) for c in alternative) for alternative in q["alternatives"] or ()),
+                tuple(q["exclude_hosts"] or ()),
+                bool(q["primary_fails"]),
+            )
+            for q in r["queries"] or ()
+        )
+        caps = {c: r[c] for c in ("top_k", "final_event_cap", "max_content_chars") if r[c] is not None}
+        tasks.append(Task(r["name"], queries, **caps))
+    return TaskConfig(tuple(tasks), **run)
 
 
 def _q(text: str, *alternatives, exclude=(), fails=False) -> Query:
@@ -150,4 +172,6 @@ PROSE_CONFIG = TaskConfig(
         ),
     ),
     blocked_host_tokens=("spam-farm", "cheap-pills"),
+    run_id=K.DEFAULT_RUN_ID,
+    run_ts=K.DEFAULT_RUN_TS,
 )

@@ -2,10 +2,10 @@
 
 The original is a batch job started by a scheduler once per task and day.  The
 Spark equivalent keeps one streaming query over a directory of page
-snapshots: each new snapshot file is processed exactly once (file source +
-checkpoint), and every micro-batch runs the whole triage for all tasks as one
+snapshots: each new snapshot file is one micro-batch, processed exactly once
+(file source + checkpoint), which runs the whole triage for all tasks as one
 batch job via ``foreachBatch``, writing reports and stage tables under a run id
-derived from the batch id.  ``trigger(availableNow=True)`` gives the
+derived from the stream's name and the batch id.  ``trigger(availableNow=True)`` gives the
 "process what arrived, then stop" behaviour of a scheduled run.
 
 The streaming checkpoint lives under the session's ``spark.checkpoint.dir``
@@ -40,18 +40,19 @@ def start_snapshot_runs(
     out_dir: str,
     checkpoint_location: str | None = None,
     cluster_mode: str = "leader",
+    name: str = "snapshots",
     available_now: bool = True,
 ):
     """Start the streaming query; returns the ``StreamingQuery``."""
-    location = checkpoint_location or f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/snapshot_runs"
-    stream = spark.readStream.schema(PAGES_SCHEMA).parquet(snapshot_dir)
+    location = checkpoint_location or f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}"
+    stream = spark.readStream.schema(PAGES_SCHEMA).option("maxFilesPerTrigger", 1).parquet(snapshot_dir)
 
     def run_batch(pages: DataFrame, batch_id: int) -> None:
-        run_cfg = replace(cfg, run_id=f"{cfg.run_id}_b{batch_id}")
+        run_cfg = replace(cfg, run_id=f"{name}_b{batch_id}", run_ts=None)  # the time of this run
         result = run_triage(pages.sparkSession, pages, run_cfg, cluster_mode=cluster_mode)
         # run ids derive from the batch id, and sinks overwrite only their own
         # partitions, so a re-executed batch replaces its output (idempotent)
-        sinks.write_json_report(result.json_rows, f"{out_dir}/json")
+        sinks.write_json_report(result.json_blocks, f"{out_dir}/json")
         sinks.write_markdown_report(result.markdown_rows, f"{out_dir}/markdown")
         sinks.write_stage_tables(result, f"{out_dir}/stages")
 

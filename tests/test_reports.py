@@ -83,6 +83,57 @@ def test_empty_input_reports_keep_header(spark):
     assert all(r["text"].startswith("# Daily Report: ") for r in md)
 
 
+def text_of(out, kind, task, run_id):
+    folder = os.path.join(out, kind, f"task_name={task}", f"run_id={run_id}")
+    return "".join(open(os.path.join(folder, f)).read() for f in sorted(os.listdir(folder)) if f.startswith("part-"))
+
+
+def test_json_document_of_a_cluster_over_several_queries(spark):
+    """Sources of one cluster come from three queries; a task without clusters has a document too."""
+    from newsfold.operators import clusters as C
+    from newsfold.operators import report as RP
+    from newsfold.operators.features import page_features
+    from newsfold.operators.leader import leader_labels
+    from newsfold.sources import sinks
+
+    rows = [res((q << 32) + 1, f"u{q}", f"Same \"story\" retold {w}", 0, 10 + q) for q, w in enumerate(("alpha", "beta", "gamma"))]
+    rows.append(res(7, "other", "Unrelated words entirely", 0, 3))
+    f = page_features(spark.createDataFrame(rows, RES_SCHEMA).withColumns({"seq": F.col("arrival_seq"), "content": F.lit("one shared body of text")})).checkpoint()
+    members = C.assign(f, leader_labels(f))
+    ranked = C.rank(C.summarize(members), cap=10)
+    names = spark.createDataFrame([("r", "t"), ("r", "idle")], "run_id string, task_name string")
+    out = tempfile.mkdtemp(prefix="newsfold-json-")
+    blocks = RP.json_blocks(ranked, C.sources(members, ranked), names, "2024-02-15T00:00:00+00:00")
+    sinks.write_json_report(blocks, out + "/json")
+    doc = json.loads(text_of(out, "json", "t", "r"))
+    sizes = {c["source_count"]: [s["url"] for s in c["sources"]] for c in doc["clusters"]}
+    assert sum(sizes) == 4 and all(n == len(v) for n, v in sizes.items())
+    assert max(sizes) >= 3 and {"u0", "u1", "u2"} <= set(sizes[max(sizes)])
+    assert json.loads(text_of(out, "json", "idle", "r")) == {"task_name": "idle", "generated_at": "2024-02-15T00:00:00+00:00", "total_clusters": 0, "clusters": []}
+
+
+def test_runs_have_their_own_identity():
+    from newsfold.sources.tasks import TaskConfig
+
+    a, b = TaskConfig(()), TaskConfig(())
+    assert a.run_id != b.run_id and a.run_ts[-6] in "+-"
+
+
+def test_config_reader(spark):
+    from newsfold.sources.tasks import PROSE_CONFIG, Query, Task, read_config
+
+    folder = tempfile.mkdtemp(prefix="newsfold-config-")
+    with open(f"{folder}/tasks.json", "w") as f:
+        for t in PROSE_CONFIG.tasks:
+            qs = [{"text": q.text, "alternatives": q.alternatives, "exclude_hosts": q.exclude_hosts, "primary_fails": q.primary_fails} for q in t.queries]
+            f.write(json.dumps({"name": t.name, "top_k": t.top_k, "final_event_cap": t.final_event_cap, "max_content_chars": t.max_content_chars, "queries": qs}) + "\n")
+        f.write(json.dumps({"name": "z_defaults", "queries": [{"text": "x", "alternatives": [[["x"]]]}]}) + "\n")
+    cfg = read_config(spark, folder, run_id="r1", blocked_host_tokens=("a",))
+    tasks = lambda c: [(t.name, t.top_k, t.final_event_cap, t.max_content_chars, [(q.text, json.dumps(q.alternatives), q.exclude_hosts, q.primary_fails) for q in t.queries]) for t in c.tasks]
+    assert tasks(cfg)[:2] == tasks(PROSE_CONFIG) and cfg.run_id == "r1"
+    assert cfg.tasks[2] == Task("z_defaults", (Query("x", ((("x",),),)),))
+
+
 def test_triage_sinks_and_markdown_shape(spark):
     from newsfold.plans.triage import run_triage
     from newsfold.sources import sinks, tables
@@ -90,16 +141,14 @@ def test_triage_sinks_and_markdown_shape(spark):
 
     result = run_triage(spark, tables.pages(spark, "/root/testdata/sf0.001"), PROSE_CONFIG)
     out = tempfile.mkdtemp(prefix="newsfold-sink-")
-    sinks.write_json_report(result.json_rows, out + "/json")
+    sinks.write_json_report(result.json_blocks, out + "/json")
     sinks.write_markdown_report(result.markdown_rows, out + "/md")
-    task_dir = os.path.join(out, "json", "task_name=prose_en", f"run_id={PROSE_CONFIG.run_id}")
-    lines = [l for f in sorted(os.listdir(task_dir)) if f.startswith("part-") for l in open(os.path.join(task_dir, f))]
-    docs = [json.loads(l) for l in lines]
-    assert docs and all(d["task_name"] == "prose_en" for d in docs)
-    assert sorted(d["cluster"]["id"] for d in docs) == list(range(1, len(docs) + 1))
-    assert all(len(d["sources"]) == d["cluster"]["source_count"] for d in docs)
-    md_dir = os.path.join(out, "md", "task_name=prose_en", f"run_id={PROSE_CONFIG.run_id}")
-    text = "".join(open(os.path.join(md_dir, f)).read() for f in sorted(os.listdir(md_dir)) if f.startswith("part-"))
+    doc = json.loads(text_of(out, "json", "prose_en", PROSE_CONFIG.run_id))
+    assert doc["task_name"] == "prose_en" and doc["generated_at"] == PROSE_CONFIG.run_ts
+    assert doc["total_clusters"] == len(doc["clusters"]) > 0
+    assert [c["id"] for c in doc["clusters"]] == list(range(1, len(doc["clusters"]) + 1))
+    assert all(len(c["sources"]) == c["source_count"] for c in doc["clusters"])
+    text = text_of(out, "md", "prose_en", PROSE_CONFIG.run_id)
     assert text.startswith("# Daily Report: prose_en\nGenerated: ")
     assert "## 1. " in text and "### Content Preview" in text and "---" in text
 
@@ -110,13 +159,14 @@ def test_snapshot_stream_runs_once(spark):
 
     snap = tempfile.mkdtemp(prefix="newsfold-snap-")
     shutil.copy("/root/testdata/sf0.001/pages.parquet", os.path.join(snap, "pages-0001.parquet"))
+    shutil.copy("/root/testdata/sf0.001/pages.parquet", os.path.join(snap, "pages-0002.parquet"))
     out = tempfile.mkdtemp(prefix="newsfold-stream-out-")
     ckpt = tempfile.mkdtemp(prefix="newsfold-stream-ckpt-")
     q = start_snapshot_runs(spark, snap, PROSE_CONFIG, out, checkpoint_location=ckpt)
     q.awaitTermination(600)
     stages = spark.read.parquet(out + "/stages/clusters")
     assert stages.count() > 0
-    assert stages.select("run_id").distinct().count() == 1
+    assert {r["run_id"] for r in stages.select("run_id").distinct().collect()} == {"snapshots_b0", "snapshots_b1"}
 
 
 def test_sink_overwrites_only_its_run(spark):
