@@ -190,26 +190,13 @@ USES_PARAMS = (
 
 # HTML elements dropped with their content by the text extractor
 DROPPED_ELEMENTS = ("script", "style", "noscript", "svg", "header", "footer", "nav")
-# named and numeric entities decoded by the extractor; '&amp;' last
-HTML_ENTITIES = (
-    ("&nbsp;", "\u00a0"),
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&apos;", "'"),
-    ("&copy;", "©"),
-    ("&reg;", "®"),
-    ("&middot;", "·"),
-    ("&ndash;", "–"),
-    ("&mdash;", "—"),
-    ("&hellip;", "…"),
-    ("&amp;", "&"),
-)
+# a character reference at the start of a piece cut before its '&': group 1 is
+# a decimal, hexadecimal or named reference
+ENTITY_RE = r"^&(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
 # block-level tags that delimit content blocks for main-content scoring
 BLOCK_SPLIT_RE = (
     r"(?i)</?(?:p|div|article|section|main|aside|h[1-6]|li|ul|ol|table|tr|td|th"
-    r"|br|blockquote|pre|form|figure|figcaption|dd|dt|dl)\b[^>]*>"
+    r"|br|blockquote|pre|form|figure|figcaption|dd|dt|dl)(?:[\s/][^>]*)?>"
 )
 MAIN_MIN_WORDS = 10             # a content block needs at least this many words
 MAIN_MAX_LINK_PCT = 33          # ... and at most this share of link text

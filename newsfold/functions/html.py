@@ -14,6 +14,8 @@ of it is array higher-order functions inside one row: no explode, no shuffle.
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -23,30 +25,67 @@ from .common import let
 from .text import normalize_ws
 
 
+#: Any tag; a '>' inside a quoted attribute does not end it.
+TAG_RE = r"""<(?:[^>"']++|"[^"]*+"|'[^']*+')*+>|<[^>]*>"""
+
+
+def open_tag(name: str) -> str:
+    """Pattern of an opening tag; the name ends where the tag's name ends, so a
+    custom element such as <nav-bar> is another element."""
+    return rf"<{name}(?:[\s/][^>]*)?>"
+
+
+def _named_entities() -> Column:
+    """Names (without '&' and ';') to characters, from the standard library's HTML 5 table."""
+    pairs = (f"{name[:-1]}\x01{chars}" for name, chars in html5.items() if name.endswith(";"))
+    return F.str_to_map(F.lit("\x02".join(pairs)), F.lit("\x02"), F.lit("\x01"))
+
+
+def _code_point(n: Column) -> Column:
+    """The character of a code point; U+FFFD for what is none."""
+    n = n.cast("long")
+    fine = n.between(1, 0xD7FF) | n.between(0xE000, 0x10FFFF)
+    return F.when(fine, F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")).otherwise(F.lit("\ufffd"))
+
+
 def decode_entities(col) -> Column:
-    out = _c(col)
-    for ent, ch in K.HTML_ENTITIES:
-        out = F.replace(out, F.lit(ent), F.lit(ch))
-    return out
+    """Character references replaced in one pass, so that decoded text is not decoded again; a name that is
+    none stays as it is."""
+    names = _named_entities()
+
+    def decoded(piece: Column) -> Column:
+        def named(ref: Column) -> Column:
+            text = (
+                F.when(ref == "", F.lit(None))
+                .when(F.lower(F.substring(ref, 1, 2)) == "#x", _code_point(F.conv(F.substring(ref, 3, 6), 16, 10)))
+                .when(ref.startswith("#"), _code_point(F.substring(ref, 2, 7)))
+                .otherwise(F.try_element_at(names, ref))
+            )
+            return F.coalesce(F.concat(text, F.substr(piece, F.length(ref) + F.lit(3))), piece)
+
+        return let(F.regexp_extract(piece, K.ENTITY_RE, 1), named)
+
+    text = _c(col)
+    return F.when(text.contains("&"), F.array_join(F.transform(F.split(text, "(?=&)"), decoded), "")).otherwise(text)
 
 
 def strip_dropped_elements(col) -> Column:
     """Remove comments and the dropped elements with their content."""
     h = F.regexp_replace(F.coalesce(_c(col), F.lit("")), r"(?s)<!--.*?-->", " ")
     for tag in K.DROPPED_ELEMENTS:
-        h = F.regexp_replace(h, rf"(?is)<{tag}\b.*?</{tag}\s*>", " ")
+        h = F.regexp_replace(h, rf"(?is){open_tag(tag)}.*?</{tag}\s*>", " ")
     return h
 
 
 def tags_to_text(col) -> Column:
     """Every tag becomes a space; entities decoded; X1."""
-    return normalize_ws(decode_entities(F.regexp_replace(_c(col), r"<[^>]*>", " ")))
+    return normalize_ws(decode_entities(F.regexp_replace(_c(col), TAG_RE, " ")))
 
 
 def html_title(col) -> Column:
     """Text of the first <title> element, entities decoded, X1.  Applied to
     the raw HTML: the title sits at the top, so the search stops early."""
-    raw = F.regexp_extract(F.coalesce(_c(col), F.lit("")), r"(?is)<title\b[^>]*>(.*?)</title\s*>", 1)
+    raw = F.regexp_extract(F.coalesce(_c(col), F.lit("")), rf"(?is){open_tag('title')}(.*?)</title\s*>", 1)
     return tags_to_text(raw)
 
 
@@ -65,12 +104,12 @@ def main_content(cleaned_html) -> Column:
     '' when no block qualifies (callers then fall back to F1).  Each block's
     text is extracted once (bound with ``let``) and reused by the word count,
     the link share and the output."""
-    body = F.regexp_replace(_c(cleaned_html), r"(?is)^.*?<body\b[^>]*>", "")
+    body = F.regexp_replace(_c(cleaned_html), rf"(?is)^.*?{open_tag('body')}", "")
     blocks = F.split(body, K.BLOCK_SPLIT_RE)
 
     def score(b: Column) -> Column:
         def with_text(text: Column) -> Column:
-            nolink = _block_text(F.regexp_replace(b, r"(?is)<a\b[^>]*>.*?</a\s*>", " "))
+            nolink = _block_text(F.regexp_replace(b, rf"(?is){open_tag('a')}.*?</a\s*>", " "))
             n_chars = F.length(text)
             link_chars = n_chars - F.length(nolink)
             n_words = F.when(text == "", F.lit(0)).otherwise(F.size(F.split(text, " ")))

@@ -9,6 +9,8 @@ valid in both Java regex and RE2.
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from .. import constants as K
 from ..sources.tasks import TaskConfig
 
@@ -117,33 +119,52 @@ def official_bonus(d: str) -> str:
 # ---------------------------------------------------------------- html
 
 
+#: The tag pattern of functions/html.py in RE2 spelling.
+TAG_RE = """<(?:[^>"']|"[^"]*"|'[^']*')*>|<[^>]*>"""
+#: Names that the tables hold; tests compare the whole name table with the standard library.
+ENTITY_NAMES = ("amp", "lt", "gt", "quot", "apos", "nbsp", "copy", "reg", "middot", "ndash", "mdash", "hellip", "eacute", "uuml", "rsquo")
+
+
 def decode_entities(x: str) -> str:
-    out = x
-    for ent, ch in K.HTML_ENTITIES:
-        out = f"replace({out}, {lit(ent)}, {lit(ch)})"
-    return out
+    names = "map([" + ", ".join(lit(n) for n in ENTITY_NAMES) + "], [" + ", ".join(lit(html5[n + ";"]) for n in ENTITY_NAMES) + "])"
+    ref = f"regexp_extract('&' || p, {lit(K.ENTITY_RE)}, 1)"
+
+    def point(n: str) -> str:
+        return f"(CASE WHEN {n} BETWEEN 1 AND 55295 OR {n} BETWEEN 57344 AND 1114111 THEN chr({n}) ELSE chr(65533) END)"
+
+    text = (
+        f"CASE WHEN {ref} = '' THEN NULL WHEN lower({ref}[1:2]) = '#x' THEN {point(f'try_cast(concat(chr(48), chr(120), {ref}[3:]) AS INT)')} "
+        f"WHEN {ref}[1] = '#' THEN {point(f'try_cast({ref}[2:] AS INT)')} ELSE {names}[{ref}] END"
+    )
+    rest = f"list_transform(string_split({x}, '&')[2:], lambda p: coalesce(({text}) || substring(p, length({ref}) + 2), '&' || p))"
+    return f"(CASE WHEN contains({x}, '&') THEN string_split({x}, '&')[1] || array_to_string({rest}, '') ELSE {x} END)"
+
+
+def open_tag(name: str) -> str:
+    return rf"<{name}(?:[\s/][^>]*)?>"
 
 
 def strip_dropped(h: str) -> str:
     out = f"regexp_replace(coalesce({h}, ''), {lit('(?s)<!--.*?-->')}, ' ', 'g')"
     for tag in K.DROPPED_ELEMENTS:
-        out = f"regexp_replace({out}, {lit(f'(?is)<{tag}\\b.*?</{tag}\\s*>')}, ' ', 'g')"
+        out = f"regexp_replace({out}, {lit(f'(?is){open_tag(tag)}.*?</{tag}\\s*>')}, ' ', 'g')"
     return out
 
 
 def tags_to_text(x: str) -> str:
-    return ws(decode_entities(f"regexp_replace({x}, '<[^>]*>', ' ', 'g')"))
+    return ws(decode_entities(f"regexp_replace({x}, {lit(TAG_RE)}, ' ', 'g')"))
 
 
 def html_title(h: str) -> str:
-    return tags_to_text(f"regexp_extract(coalesce({h}, ''), {lit('(?is)<title\\b[^>]*>(.*?)</title\\s*>')}, 1)")
+    pattern = f"(?is){open_tag('title')}(.*?)</title\\s*>"
+    return tags_to_text(f"regexp_extract(coalesce({h}, ''), {lit(pattern)}, 1)")
 
 
 def main_content(clean: str) -> str:
-    body = f"regexp_replace({clean}, {lit('(?is)^.*?<body\\b[^>]*>')}, '')"
+    body = f"regexp_replace({clean}, {lit('(?is)^.*?' + open_tag('body'))}, '')"
     blocks = f"regexp_split_to_array({body}, {lit(K.BLOCK_SPLIT_RE)})"
     text = tags_to_text("b")
-    nolink = tags_to_text(f"regexp_replace(b, {lit('(?is)<a\\b[^>]*>.*?</a\\s*>')}, ' ', 'g')")
+    nolink = tags_to_text(f"regexp_replace(b, {lit('(?is)' + open_tag('a') + '.*?</a\\s*>')}, ' ', 'g')")
     n_words = f"(CASE WHEN {text} = '' THEN 0 ELSE len(string_split({text}, ' ')) END)"
     keep = (
         f"{n_words} >= {K.MAIN_MIN_WORDS} AND "

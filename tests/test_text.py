@@ -107,3 +107,34 @@ def test_scores(spark, host, score, bonus):
 def test_whitespace(spark):
     assert one(spark, X.normalize_ws, "　 a  b\x1c c\n") == "a b c"
     assert one(spark, X.normalize_ws, None) == ""
+
+
+def test_character_references(spark):
+    import html
+
+    from newsfold.functions.html import decode_entities
+
+    rows = [
+        "don&#8217;t &eacute;t&eacute; &#x1F600; &amp;lt; &bogus; &amp &; a&b;c && &#0; &#xD800; &CounterClockwiseContourIntegral;",
+        "plain",
+        "&lt;b&gt; &NotEqualTilde; &nbsp;",
+    ]
+    got = [r[0] for r in spark.createDataFrame([(x,) for x in rows], "h string").select(decode_entities("h")).collect()]
+    expected = [html.unescape(x.replace("&amp &;", "KEEP")).replace("KEEP", "&amp &;") for x in rows]
+    assert got == expected
+
+
+def test_html_tags(spark):
+    from newsfold.functions.html import html_text, html_title, strip_dropped_elements
+
+    rows = {
+        "<header-bar>x</header-bar><p>body</p><header>h</header>": "x body",
+        "<p title='a>b' class=\"c>d\">text</p>": "text",
+        "<p title=\"open>text</p>": "text",
+        "<nav/ x>gone</nav><abbr>kept</abbr>": "kept",
+        "<NAV class=a>gone</nav >kept": "kept",
+    }
+    df = spark.createDataFrame([(x,) for x in rows], "h string")
+    assert [r[0] for r in df.select(html_text(strip_dropped_elements("h"))).collect()] == list(rows.values())
+    titles = spark.createDataFrame([("<title-x>no</title-x><title lang=a>T &amp; U</title>",)], "h string")
+    assert titles.select(html_title("h")).first()[0] == "T & U"
