@@ -6,9 +6,9 @@ Plan shape:
   query dimension is configuration known on the driver, so it is compiled
   into one literal array of query structs and each page keeps the queries it
   satisfies (``filter`` + ``explode`` in the scan stage; no shuffle, no
-  pages-by-queries product).  A configuration above ``MAX_LITERAL_PHRASES``
-  phrases is split into chunks, one projection per chunk, unioned.
-* P1/P3/P4 are filters in the same stage.
+  pages-by-queries product).  The literals hold ``MAX_LITERAL_PHRASES`` phrases
+  each; their results are concatenated, so any number of phrases takes one scan.
+* P1/P3/P4 are conditions on the same array.
 * D1 (first sighting per query and canonical URL) is an aggregation with a
   map-side partial ``min(struct(src_pos, ...))``, so a URL repeated by many
   pages never concentrates in one task.
@@ -28,7 +28,7 @@ from ..sources.tasks import TaskConfig, queries_df, tasks_df
 from .pages import search_snippet
 
 SEQ_STRIDE = 1 << 32
-# phrases compiled into one projection; more are split into several passes
+# phrases of one literal array
 MAX_LITERAL_PHRASES = 20_000
 QUERY_STRUCT = "struct<task_name:string,query_idx:int,alternatives:array<array<array<string>>>,exclude_hosts:array<string>,top_k:int>"
 
@@ -87,10 +87,14 @@ def matching_queries(searchable: Column, queries: Column) -> Column:
     return F.filter(queries, lambda q: query_matches(searchable, q["alternatives"]))
 
 
-def keyword_hits(base: DataFrame, cfg: TaskConfig) -> DataFrame:
+def keyword_hits(base: DataFrame, cfg: TaskConfig, blocked_host_tokens=None) -> DataFrame:
     """P6 over page_base rows: one row per (task, query, matching page) with
     the page's search-result fields and the query's exclusions and top_k.
-    ``src_pos`` orders results (page_id)."""
+    ``src_pos`` orders results (page_id).
+
+    With ``blocked_host_tokens`` only valid hits (P1, P3, P4) come out.  The
+    conditions then stand inside the exploded array: as filters they would be
+    pushed below it and carry a copy of the canonical URL's expression each."""
     searchable = base.select(
         "page_id",
         F.col("page_title").alias("title"),
@@ -100,17 +104,14 @@ def keyword_hits(base: DataFrame, cfg: TaskConfig) -> DataFrame:
         search_snippet("body_text").alias("snippet"),
         F.lower(F.concat_ws(" ", "page_title", "body_text")).alias("_search"),
     )
-    parts = []
-    for chunk in query_chunks(cfg):
-        m = searchable.select("*", F.explode(matching_queries(F.col("_search"), chunk)).alias("_q"))
-        parts.append(m.select("*", "_q.*").drop("_q", "_search", "alternatives"))
-    if not parts:
-        schema = "page_id long, title string, url string, normalized_url string, domain string, snippet string, task_name string, query_idx int, exclude_hosts array<string>, top_k int"
-        return base.sparkSession.createDataFrame([], schema).withColumn("src_pos", F.col("page_id"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.withColumn("src_pos", F.col("page_id"))
+    chunks = query_chunks(cfg) or [F.array().cast(f"array<{QUERY_STRUCT}>")]
+    found = F.concat(*[matching_queries(F.col("_search"), chunk) for chunk in chunks])
+    if blocked_host_tokens is not None:
+        page = (F.col("title") != "") & (F.col("normalized_url") != "") & U.host_allowed(F.col("domain"), blocked_host_tokens)
+        here = F.filter(found, lambda q: ~U.excluded_by_site(F.col("domain"), q["exclude_hosts"]))
+        found = F.when(page, here)
+    hits = searchable.select("*", F.explode(found).alias("_q"))
+    return hits.select("*", "_q.*").drop("_q", "_search", "alternatives").withColumn("src_pos", F.col("page_id"))
 
 
 def valid_hits(hits: DataFrame, blocked_host_tokens) -> DataFrame:
@@ -153,8 +154,7 @@ def search_hits(base: DataFrame, qdim: DataFrame, cfg: TaskConfig) -> DataFrame:
     (S5): same index, same post-processing (S4), ``provider = 'fallback'`` and
     the L1 region of the query text.  Both providers are served by one scan and
     one match join instead of a union of two scans."""
-    hits = keyword_hits(base, cfg)
-    hits = valid_hits(hits, cfg.blocked_host_tokens).drop("exclude_hosts")
+    hits = keyword_hits(base, cfg, cfg.blocked_host_tokens).drop("exclude_hosts")
     hits = first_per_url(hits)
     hits = rank_top_k(hits, cfg.max_top_k)
     hits = with_arrival_seq(hits).drop("top_k")

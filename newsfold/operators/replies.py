@@ -75,7 +75,7 @@ def _step(acc: Column, line: Column) -> Column:
         (in_res | is_sr).alias("in_res"),
         F.when(c_title, F.lit(True)).when(c_paren, F.lit(False)).otherwise(has).alias("has"),
         F.when(c_title, F.regexp_extract(stripped, TITLE_LINE_RE, 1)).otherwise(acc["title"]).alias("title"),
-        F.when(c_title, F.lit("")).when(c_url, F.trim(F.regexp_extract(line, URL_LINE_RE, 1))).otherwise(acc["url"]).alias("url"),
+        F.when(c_title, F.lit("")).when(c_url, strip_ws(F.regexp_extract(line, URL_LINE_RE, 1))).otherwise(acc["url"]).alias("url"),
         F.when(c_title, acc["n"] + 1).otherwise(acc["n"]).alias("n"),
         F.when(emit, F.array_append(acc["out"], new_item)).otherwise(acc["out"]).alias("out"),
     )

@@ -36,6 +36,13 @@ def sized_broadcast(df: DataFrame, bound: int | None = None, limit: int = BROADC
     return F.broadcast(df) if n <= limit else df
 
 
+def matching_pages(snapshot: DataFrame, urls: DataFrame) -> DataFrame:
+    """normalized_url, page_id of the snapshot pages whose canonical URL is
+    among ``urls``; the smallest page_id of each URL."""
+    keyed = with_canonical_url(snapshot.select("page_id", X.normalize_ws("url").alias("url")), "url", domain_col=None)
+    return keyed.join(urls, "normalized_url", "left_semi").groupBy("normalized_url").agg(F.min("page_id").alias("page_id"))
+
+
 def snapshot_pages(snapshot: DataFrame, urls: DataFrame) -> DataFrame:
     """Snapshot pages whose canonical URL is among ``urls``; one page per URL
     (smallest page_id) with its title and readable text."""

@@ -387,7 +387,7 @@ def _d1_sql():
 def d1_query_dedup(spark, sf):
     b = _base(spark, sf, main=False)
     twice = b.unionByName(b.withColumn("page_id", F.col("page_id") + F.lit(1_000_000_000_000)))
-    h = HT.valid_hits(HT.keyword_hits(twice, CFG), CFG.blocked_host_tokens)
+    h = HT.keyword_hits(twice, CFG, CFG.blocked_host_tokens)
     return HT.first_per_url(h.select("task_name", "query_idx", "normalized_url", "src_pos"))
 
 
@@ -398,7 +398,7 @@ def w1_rank(spark, sf):
     from ..operators.ranking import positions
 
     b = _base(spark, sf, main=False)
-    h = HT.first_per_url(HT.valid_hits(HT.keyword_hits(b, CFG), CFG.blocked_host_tokens).select("task_name", "query_idx", "normalized_url", "src_pos"))
+    h = HT.first_per_url(HT.keyword_hits(b, CFG, CFG.blocked_host_tokens).select("task_name", "query_idx", "normalized_url", "src_pos"))
     return positions(h, ["task_name", "query_idx"], [F.col("src_pos")], "rank").select("task_name", "query_idx", "normalized_url", "rank")
 
 
@@ -426,13 +426,12 @@ def o1_union_hits(spark, sf):
     ),
 )
 def j1_hits_pages(spark, sf):
-    from ..operators.resolve import snapshot_pages
+    from ..operators.resolve import matching_pages, sized_broadcast
 
-    h = _hits(spark, sf)
-    snap = snapshot_pages(_pages(spark, sf), h.select("normalized_url").distinct())
-    return h.join(snap.select("normalized_url", "page_id"), "normalized_url", "left").select(
-        "task_name", "query_idx", "rank", "normalized_url", "page_id"
-    )
+    h = _hits(spark, sf).checkpoint()
+    urls = sized_broadcast(h.select("normalized_url").distinct(), CFG.hit_bound)
+    found = matching_pages(tables.read_table(spark, sf, "pages"), urls)
+    return h.join(found, "normalized_url", "left").select("task_name", "query_idx", "rank", "normalized_url", "page_id")
 
 
 # ---- S6 over page hits and document hits (documents have no crawled page)
@@ -503,7 +502,7 @@ def _s2_sql():
         "it AS (SELECT task_name, query_idx, item_no, "
         "any_value(CASE WHEN t THEN regexp_extract(stripped, " + O.lit("^" + K.REPLY_TITLE_LINE) + ", 1) END) AS title, "
         "min(CASE WHEN is_paren THEN pos END) AS p1 FROM ln4 GROUP BY ALL)",
-        "urls AS (SELECT i.task_name, i.query_idx, i.item_no, arg_max(trim(regexp_extract(l.line, " + O.lit("^" + K.REPLY_URL_LINE) + ", 1)), l.pos) AS url "
+        "urls AS (SELECT i.task_name, i.query_idx, i.item_no, arg_max(regexp_replace(regexp_extract(l.line, " + O.lit("^" + K.REPLY_URL_LINE) + ", 1), " + O.lit(f"^{K.WS}|{K.WS}$") + ", '', 'g'), l.pos) AS url "
         "FROM it i JOIN ln4 l ON l.task_name = i.task_name AND l.query_idx = i.query_idx AND l.item_no = i.item_no AND l.is_url AND l.pos < i.p1 GROUP BY ALL)",
         "snips AS (SELECT i.task_name, i.query_idx, i.item_no, l.stripped AS snippet FROM it i JOIN ln4 l "
         "ON l.task_name = i.task_name AND l.query_idx = i.query_idx AND l.item_no = i.item_no AND l.pos = i.p1)",

@@ -16,11 +16,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Spread a scan that yields fewer partitions than the cluster has cores
-    (a small file with one row group) before CPU-heavy text work.  A scan of a
-    large table already has enough splits and is returned unchanged, so this
-    never adds a shuffle at scale."""
+    """In a local session, spread a scan that yields fewer partitions than
+    cores (a small file with one row group) before CPU-heavy text work.  On a
+    cluster the scan's splits (``spark.sql.files.maxPartitionBytes``) are left
+    as they are."""
     try:
+        if not df.sparkSession.sparkContext.master.startswith("local["):
+            return df
         cores = df.sparkSession.sparkContext.defaultParallelism
         parts = df.rdd.getNumPartitions()
     except Exception:  # sessions without a local SparkContext (Spark Connect)

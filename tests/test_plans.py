@@ -42,3 +42,38 @@ def test_query_matching_needs_no_join(plans):
     for name, plan in plans.items():
         assert "BroadcastNestedLoopJoin" not in plan, name
     assert "Generate" in plans["p6_keyword_match"]
+
+
+def test_canonical_url_is_worked_out_once(spark):
+    from newsfold.plans import catalog
+
+    plan = catalog.queries()["s3_hits"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("uddg") == 1 and plan.count("Relation") == 1
+
+
+def test_many_phrases_take_one_scan_and_large_top_k_is_exact(spark):
+    from newsfold.operators import hits as HT
+    from newsfold.operators.pages import page_base
+    from newsfold.sources import tables
+    from newsfold.sources.tasks import PROSE_CONFIG, Query, Task, TaskConfig
+
+    task = PROSE_CONFIG.tasks[0]
+    many = Query("many", ((tuple(f"absent phrase {i}" for i in range(30_000)), ("the",)),))
+    cfg = TaskConfig((Task("t", (*task.queries, many), top_k=2000),))
+    base = page_base(tables.pages(spark, SF_SMALL), with_main=False)
+    hits = HT.search_hits(base, HT.query_dimension(spark, cfg), cfg)
+    assert hits._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 1
+    kept = hits.groupBy("query_idx").count().collect()
+    all_ = HT.first_per_url(HT.keyword_hits(base, cfg, ()).select("task_name", "query_idx", "normalized_url", "src_pos")).groupBy("query_idx").count().collect()
+    assert sorted(map(tuple, kept)) == sorted(map(tuple, all_)) and kept
+
+
+def test_dedup_elects_without_content(spark):
+    from newsfold.operators.dedup import _title_winners, _url_winners
+    from newsfold.operators.pages import pages_as_resolved
+    from newsfold.sources import tables
+
+    plan = plan_of(_title_winners(_url_winners(pages_as_resolved(tables.pages(spark, SF_SMALL))), "strict"))
+    for line in plan.splitlines():
+        if "Aggregate" in line and "max_by" in line.lower():
+            assert " content#" not in line and "html#" not in line
