@@ -2,7 +2,7 @@
 
 Operators that compare every word or byte window of a corpus with every other
 one would shuffle a row per window.  Here the documents are dealt into
-blocks of bounded size, once; a block asks about its sorted distinct 64-bit keys with one
+blocks of bounded size, once, as compressed bundles; a block asks about its sorted distinct 64-bit keys with one
 message per bucket (a range of keys), a bucket merges the messages of all
 blocks, and its answers go back in the order of the keys.  A key that fills a
 third of the corpus costs one entry per block.  Keys travel as differences in
@@ -20,6 +20,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,15 +39,16 @@ ANSWERS = "kind int, bucket long, block long, answer binary"
 
 
 class Blocks:
-    """The documents of a corpus in blocks: columns block, doc_id, text."""
+    """The documents of a corpus in blocks: columns block, data (a bundle of documents)."""
 
     def __init__(self, docs: DataFrame, id_col: str, text_col: str, block_bytes: int = BLOCK_BYTES) -> None:
         self.bytes = corpus_bytes(docs, text_col)
         n = max(1, math.ceil(self.bytes / block_bytes))
         rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).cast("string").alias("text"))
         block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).alias("block")
+        bundles = rows.select(block, "doc_id", "text").mapInArrow(_bundled, "block long, data binary")
         # not below the session's partitions, else Spark would deal the texts again to meet its own number
-        self.rows = rows.select(block, "doc_id", "text").repartition(max(n, shuffle_partitions(docs)), "block")
+        self.rows = bundles.repartition(max(n, shuffle_partitions(docs)), "block")
 
     def bucket_bits(self, keys: float) -> int:
         return max(0, math.ceil(math.log2(max(1.0, keys / KEYS_PER_BUCKET))))
@@ -88,12 +90,35 @@ class Blocks:
         return rows.cogroup(answers.groupBy("block")).applyInArrow(lambda key, table, told: work(key, table, told), schema)
 
 
+def _bundled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows block, doc_id, text; the documents of a batch that go to one block become one compressed bundle."""
+    for batch in batches:
+        blocks, ids = batch.column(0).to_numpy(), batch.column(1).fill_null(NO_ID).to_numpy()
+        texts = batch.column(2).cast(pa.binary()).to_pylist()
+        order = np.argsort(blocks, kind="stable")
+        edges = np.flatnonzero(np.diff(blocks[order], prepend=-1, append=-1))
+        data = []
+        for a, b in zip(edges[:-1], edges[1:]):
+            own = order[a:b]
+            held = [texts[i] for i in own.tolist()]
+            head = np.concatenate([[len(own)], ids[own], [len(t) for t in held]]).astype(np.int64)
+            data.append(zstandard.ZstdCompressor(level=1).compress(head.tobytes() + b"".join(held)))
+        yield pa.record_batch([pa.array(blocks[order[edges[:-1]]]), pa.array(data, pa.binary())], ["block", "data"])
+
+
 def texts_of(rows: pa.Table) -> tuple[np.ndarray, list[bytes]]:
-    """Ids (NO_ID for null) and UTF-8 texts of a block, in the order of id and text."""
-    ids = rows["doc_id"].fill_null(NO_ID).to_numpy()
-    texts = rows["text"].cast(pa.binary()).to_pylist()
-    order = sorted(range(len(texts)), key=lambda i: (ids[i], texts[i]))
-    return ids[order], [texts[i] for i in order]
+    """Ids (NO_ID for null) and UTF-8 texts of a block's bundles, in the order of id and text."""
+    found: list[tuple[int, bytes]] = []
+    for bundle in rows["data"]:
+        data = zstandard.ZstdDecompressor().decompress(bundle.as_buffer())
+        n = int(np.frombuffer(data, np.int64, 1)[0])
+        ids, lengths = np.frombuffer(data, np.int64, 2 * n, 8).reshape(2, n)
+        at = 8 + 16 * n
+        for doc_id, length in zip(ids.tolist(), lengths.tolist()):
+            found.append((doc_id, data[at : at + length]))
+            at += length
+    found.sort()
+    return np.array([doc_id for doc_id, _ in found], np.int64), [text for _, text in found]
 
 
 def ids_array(ids: np.ndarray) -> pa.Array:
