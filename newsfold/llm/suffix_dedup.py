@@ -94,7 +94,7 @@ def _chunk(texts: list[bytes], threshold: int) -> Chunk:
         none = np.zeros(0, np.int64)
         return Chunk(data, ends, starts, none, none, none, none)
     grams = np.ndarray(len(raw) - GRAM + 1, "<u8", raw, strides=(1,))
-    lowest = mix(grams.astype(np.uint64)) & np.uint64(0xFFFFFFFF00000000) | np.arange(len(grams), dtype=np.uint64)
+    lowest = grams * np.uint64(0x9E3779B97F4A7C15) & np.uint64(0xFFFFFFFF00000000) | np.arange(len(grams), dtype=np.uint64)
     width = 1
     while width < ANCHORS:  # the lowest of the next 2, 4, ... grams
         step = min(width, ANCHORS - width)
@@ -107,7 +107,7 @@ def _chunk(texts: list[bytes], threshold: int) -> Chunk:
     anchors = anchor[runs]
     firsts = (ends - lengths)[lengths >= threshold]
     heads = np.unique(np.concatenate([anchors, firsts]))
-    return Chunk(data, ends, starts, runs, anchors, heads, np.minimum(heads + threshold + ANCHORS - 1, document_end[heads]))
+    return Chunk(data, ends, starts.astype(np.int32 if len(data) < 1 << 31 else np.int64), runs, anchors, heads, np.minimum(heads + threshold + ANCHORS - 1, document_end[heads]))
 
 
 def _distinct(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -123,10 +123,9 @@ class Passes:
         self.powers = Powers()
         self.told = told
         mask = np.uint64((1 << 64) - (1 << (64 - keep_bits)))
-        self.ranges = list(chunks(texts))
-        self.texts = texts
+        self.chunks = [_chunk(texts[a:b], threshold) for a, b in chunks(texts)]
         self.held, known, digits = [], [], []
-        for chunk in self._chunks():
+        for chunk in self.chunks:
             sums = self.powers.sums(chunk.data)
             known.append(self.powers.hashes(sums, chunk.heads, chunk.head_ends))
             digits.append(self.powers.hashes(sums, chunk.anchors, chunk.anchors + self.digit) & mask)
@@ -134,10 +133,6 @@ class Passes:
         self.known = _distinct(known)
         self.digits = _distinct(digits)
 
-    def _chunks(self):
-        for a, b in self.ranges:
-            yield _chunk(self.texts[a:b], self.threshold)
-
     def _per_chunk(self, values: np.ndarray, which: int) -> list[np.ndarray]:
         return np.split(values, np.cumsum([h[which] for h in self.held])[:-1])
 
@@ -146,7 +141,7 @@ class Passes:
         keys, key_of, times = self.known
         repeats = (flags_of(self.told.get(KNOWN, [])) | (times > 1))[key_of]
         out = []
-        for chunk, own in zip(self._chunks(), self._per_chunk(repeats, 0)):
+        for chunk, own in zip(self.chunks, self._per_chunk(repeats, 0)):
             cover = np.zeros(len(chunk.data) + ANCHORS + 1, np.int64)
             np.add.at(cover, chunk.heads[own], 1)
             np.add.at(cover, chunk.heads[own] + ANCHORS, -1)
@@ -155,7 +150,7 @@ class Passes:
 
     def digit_states(self, known: list[np.ndarray]) -> np.ndarray:
         """Of each distinct digit, whether all its runs here are known, and whether it occurs more than once."""
-        all_known = [np.minimum.reduceat(k, c.runs) if len(c.runs) else np.zeros(0, bool) for c, k in zip(self._chunks(), known)]
+        all_known = [np.minimum.reduceat(k, c.runs) if len(c.runs) else np.zeros(0, bool) for c, k in zip(self.chunks, known)]
         keys, key_of, times = self.digits
         out = np.ones(len(keys), bool)
         np.logical_and.at(out, key_of, np.concatenate([np.zeros(0, bool), *all_known]))
@@ -167,9 +162,9 @@ class Passes:
         states = np.concatenate([np.zeros(0, np.uint8), *[np.frombuffer(a, np.uint8) for a in self.told.get(DIGIT, [])]])
         open_runs = (states == OPEN)[key_of]
         starts, found = [], []
-        for chunk, own in zip(self._chunks(), self._per_chunk(open_runs, 1)):
+        for chunk, own in zip(self.chunks, self._per_chunk(open_runs, 1)):
             lengths = np.diff(np.append(chunk.runs, len(chunk.starts)))
-            at = chunk.starts[np.repeat(own, lengths)]
+            at = chunk.starts[np.repeat(own, lengths)].astype(np.int64)
             starts.append(at)
             found.append(self.powers.hashes(self.powers.sums(chunk.data), at, at + self.threshold) if len(at) else np.zeros(0, np.uint64))
         return starts, found
@@ -219,7 +214,7 @@ def dedup(docs: DataFrame, threshold: int = THRESHOLD, id_col: str = "doc_id", t
         repeats = (flags_of(told.get(FULL, [])) | (times > 1))[key_of]
         own = np.split(repeats, np.cumsum([len(k) for k in keys])[:-1])
         sizes, removed, spans, digests = [], [], [], []
-        for (a, b), chunk, at, hit, sure in zip(passes.ranges, passes._chunks(), starts, own, passes.known_starts()):
+        for chunk, at, hit, sure in zip(passes.chunks, starts, own, passes.known_starts()):
             cover = np.zeros(len(chunk.data) + 1, np.int64)
             gone_from = np.concatenate([at[hit], chunk.starts[sure]])
             np.add.at(cover, gone_from, 1)
