@@ -78,7 +78,17 @@ def _resolved(spark, sf):
 
 
 def _features(spark, sf):
-    return page_features(dedupe_pages(_resolved(spark, sf)))
+    """Features of the URL winners (D2).  The run itself clusters title winners
+    (D3); here pages of one title stay, so that the merge rules have work."""
+    return page_features(url_dedup(_resolved(spark, sf)).withColumn("seq", F.col("first_seen")))
+
+
+def _versioned_features(spark, sf):
+    """Features of the URL winners with a version in their titles (the tables
+    name hardly any): that of an even or an odd page_id."""
+    d2 = url_dedup(_resolved(spark, sf))
+    version = F.concat(F.lit(" 1."), F.pmod("arrival_seq", F.lit(2)).cast("string"))
+    return page_features(d2.withColumns({"seq": F.col("first_seen"), "title": F.concat("title", version)}))
 
 
 def _corpus_clusters(spark, sf):
@@ -100,7 +110,7 @@ def _hits(spark, sf):
 
 PB = O.page_base_ctes(True)
 PB_NOMAIN = O.page_base_ctes(False)
-CORPUS = O.pages_resolved_ctes() + O.dedup_ctes() + O.feature_ctes()
+CORPUS = O.pages_resolved_ctes() + O.dedup_ctes() + ["dz AS (SELECT *, first_seen AS seq FROM d2)"] + O.feature_ctes("dz")
 CLUSTERS = CORPUS + O.edge_ctes() + O.component_ctes() + O.cluster_ctes(str(CORPUS_CAP))
 HITS = PB + O.hits_ctes(CFG)
 
@@ -583,9 +593,15 @@ def c4_token_pairs(spark, sf):
     return S.token_edges(classes).select("a", "b")
 
 
-@register("c5_version_pairs", _sql(EDGES, "SELECT a, b FROM e_pairs WHERE m3"))
+def _c5_sql():
+    dv = "dv AS (SELECT * REPLACE (title || ' 1.' || (arrival_seq % 2)::VARCHAR AS title), first_seen AS seq FROM d2)"
+    ctes = O.pages_resolved_ctes() + O.dedup_ctes() + [dv] + O.feature_ctes("dv") + O.edge_ctes()
+    return _sql(ctes, "SELECT a, b FROM e_pairs WHERE m3")
+
+
+@register("c5_version_pairs", _c5_sql())
 def c5_version_pairs(spark, sf):
-    _, classes = S.feature_classes(_features(spark, sf))
+    _, classes = S.feature_classes(_versioned_features(spark, sf))
     return S.version_edges(classes).select("a", "b")
 
 
@@ -666,8 +682,7 @@ def d8_stage_counts(spark, sf):
     """Stage totals as (stage, n) rows, each a global aggregate over a cut stage of one run."""
     pages = _pages(spark, sf)
     resolved = pages_as_resolved(pages).checkpoint()
-    urls = url_dedup(resolved).select("arrival_seq")
-    feats = page_features(dedupe_pages(resolved)).checkpoint()
+    feats = page_features(url_dedup(resolved).withColumn("seq", F.col("first_seen"))).checkpoint()
     labels, _ = cluster_labels(feats, "components")
     sizes = labels.groupBy("run_id", "task_name", "label").agg(F.count(F.lit(1)).alias("source_count"))
 
@@ -677,8 +692,8 @@ def d8_stage_counts(spark, sf):
     parts = [
         count(pages, "pages"),  # answered from the files' footers
         count(resolved, "resolved"),
-        count(urls, "url_dedup"),
-        count(feats, "title_dedup"),
+        count(feats, "url_dedup"),
+        count(dedupe_pages(resolved), "title_dedup"),
         count(sizes, "clusters"),
         count(sizes.filter(F.col("source_count") > 1), "multi_source_clusters"),
         resolved.agg(F.sum("content_chars").cast("long").alias("n")).select(F.lit("content_chars").alias("stage"), "n"),
