@@ -92,9 +92,10 @@ def keyword_hits(base: DataFrame, cfg: TaskConfig, blocked_host_tokens=None) ->
     the page's search-result fields and the query's exclusions and top_k.
     ``src_pos`` orders results (page_id).
 
-    With ``blocked_host_tokens`` only valid hits (P1, P3, P4) come out.  The
-    conditions then stand inside the exploded array: as filters they would be
-    pushed below it and carry a copy of the canonical URL's expression each."""
+    With ``blocked_host_tokens``, P4 is part of the match (a provider does not
+    return excluded hosts) and ``valid`` says whether the hit passes P1 and
+    P3.  P4 stands inside the exploded array: as a filter it would be pushed
+    below it with a copy of the canonical URL's expression."""
     searchable = base.select(
         "page_id",
         F.col("page_title").alias("title"),
@@ -103,15 +104,46 @@ def keyword_hits(base: DataFrame, cfg: TaskConfig, blocked_host_tokens=None) ->
         "domain",
         search_snippet("body_text").alias("snippet"),
         F.lower(F.concat_ws(" ", "page_title", "body_text")).alias("_search"),
+        *[c for c in ("published",) if c in base.columns],
     )
     chunks = query_chunks(cfg) or [F.array().cast(f"array<{QUERY_STRUCT}>")]
     found = F.concat(*[matching_queries(F.col("_search"), chunk) for chunk in chunks])
     if blocked_host_tokens is not None:
-        page = (F.col("title") != "") & (F.col("normalized_url") != "") & U.host_allowed(F.col("domain"), blocked_host_tokens)
-        here = F.filter(found, lambda q: ~U.excluded_by_site(F.col("domain"), q["exclude_hosts"]))
-        found = F.when(page, here)
+        found = F.filter(found, lambda q: ~U.excluded_by_site(F.col("domain"), q["exclude_hosts"]))
     hits = searchable.select("*", F.explode(found).alias("_q"))
-    return hits.select("*", "_q.*").drop("_q", "_search", "alternatives").withColumn("src_pos", F.col("page_id"))
+    hits = hits.select("*", "_q.*").drop("_q", "_search", "alternatives").withColumn("src_pos", F.col("page_id"))
+    if blocked_host_tokens is None:
+        return hits
+    passes = (F.col("title") != "") & (F.col("normalized_url") != "") & U.host_allowed(F.col("domain"), blocked_host_tokens)
+    return hits.withColumn("valid", passes).drop("exclude_hosts")
+
+
+def _since(ts_col: str, run_ts: str, months: int = 1) -> Column:
+    return F.col(ts_col) >= F.expr(f"TIMESTAMP_NTZ '{run_ts[:19]}' - INTERVAL {int(months)} MONTH")
+
+
+def recent(df: DataFrame, ts_col: str, run_ts: str, months: int = 1) -> DataFrame:
+    """P5: rows of the last months before the run."""
+    return df.filter(_since(ts_col, run_ts, months))
+
+
+def provider_hits(hits: DataFrame, failures: DataFrame, cfg: TaskConfig) -> DataFrame:
+    """The valid hits of each query, by its provider.
+
+    The primary provider's results pass P1/P3 first and are counted after;
+    the fallback provider, which answers the queries in ``failures``
+    (task_name, query_idx; configuration-sized), returns ``top_k`` results of the last
+    month, before P1/P3, so that it can leave fewer.  Both cuts are one
+    window with a map-side limit: per query for the fallback, per query and URL otherwise
+    (its first row is D1's)."""
+    failed = F.broadcast(failures.select("task_name", "query_idx").distinct().withColumn("failed", F.lit(True)))
+    hits = hits.join(failed, ["task_name", "query_idx"], "left").withColumn("failed", F.coalesce("failed", F.lit(False)))
+    if "published" in hits.columns:
+        hits = hits.filter(~F.col("failed") | _since("published", cfg.run_ts)).drop("published")
+    within = F.when(~F.col("failed"), F.struct("normalized_url", "valid"))
+    place = F.row_number().over(Window.partitionBy("task_name", "query_idx", within).orderBy("src_pos"))
+    placed = hits.withColumn("_place", place).filter(F.col("_place") <= F.lit(cfg.max_top_k))
+    return placed.filter((F.col("_place") <= F.when(F.col("failed"), F.col("top_k")).otherwise(1)) & F.col("valid")).drop("_place", "valid")
 
 
 def valid_hits(hits: DataFrame, blocked_host_tokens) -> DataFrame:
@@ -147,22 +179,28 @@ def with_arrival_seq(hits: DataFrame) -> DataFrame:
     )
 
 
-def search_hits(base: DataFrame, qdim: DataFrame, cfg: TaskConfig) -> DataFrame:
+def configured_failures(qdim: DataFrame) -> DataFrame:
+    """Queries marked ``primary_fails`` in the configuration."""
+    return qdim.filter("primary_fails").select("task_name", "query_idx")
+
+
+def search_hits(base: DataFrame, qdim: DataFrame, cfg: TaskConfig, failures: DataFrame | None = None) -> DataFrame:
     """Ranked hits of all queries of all tasks, one table.
 
-    Queries whose primary provider raised are answered by the fallback provider
-    (S5): same index, same post-processing (S4), ``provider = 'fallback'`` and
-    the L1 region of the query text.  Both providers are served by one scan and
-    one match join instead of a union of two scans."""
-    hits = keyword_hits(base, cfg, cfg.blocked_host_tokens).drop("exclude_hosts")
+    ``failures`` (task_name, query_idx): queries whose primary provider raised,
+    by default those marked in the configuration; the fallback provider
+    answers them (``provider = 'fallback'``, the L1 region of the query text).
+    Both providers are served by one scan and one match."""
+    failures = configured_failures(qdim) if failures is None else failures
+    hits = provider_hits(keyword_hits(base, cfg, cfg.blocked_host_tokens), failures, cfg)
     hits = first_per_url(hits)
     hits = rank_top_k(hits, cfg.max_top_k)
     hits = with_arrival_seq(hits).drop("top_k")
     caps = qdim.select(
-        "task_name", "query_idx", "query_text", "primary_fails", "top_k", "final_event_cap", "max_content_chars"
+        "task_name", "query_idx", "query_text", "top_k", "final_event_cap", "max_content_chars"
     )
     hits = hits.join(F.broadcast(caps), ["task_name", "query_idx"])
-    fails = F.col("primary_fails")
+    fails = F.col("failed")
     return hits.select(
         F.lit(cfg.run_id).alias("run_id"),
         "task_name",

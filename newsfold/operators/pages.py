@@ -55,7 +55,7 @@ def resolved_columns(
     hit_title: Column,
     snippet: Column,
     max_chars: Column,
-    fallback_status: str = K.STATUS_FALLBACK_PREFIX + "HTTPError",
+    fallback_status: Column | None = None,
 ) -> dict:
     """S6/P7/F3 as columns.
 
@@ -72,7 +72,7 @@ def resolved_columns(
         lambda c: F.struct(
             F.when(found & (c == ""), snippet).otherwise(c).alias("content"),
             F.when(found, F.when(c != "", F.lit(K.STATUS_OK)).otherwise(F.lit(K.STATUS_EMPTY)))
-            .otherwise(F.lit(fallback_status))
+            .otherwise(F.lit(K.STATUS_FALLBACK_PREFIX + "HTTPError") if fallback_status is None else fallback_status)
             .alias("fetch_status"),
         ),
     )

@@ -318,8 +318,7 @@ _P5_SQL = f"SELECT event_id, user_id, event_type FROM events WHERE ts >= TIMESTA
 @register("p5_recency", _P5_SQL)
 def p5_recency(spark, sf):
     e = tables.events(spark, sf)
-    since = F.expr(f"TIMESTAMP_NTZ '{CFG.run_ts[:19]}' - INTERVAL 1 MONTH")
-    return e.filter(F.col("ts") >= since).select("event_id", "user_id", "event_type")
+    return HT.recent(e, "ts", CFG.run_ts).select("event_id", "user_id", "event_type")
 
 
 @register("n2_slug", "SELECT event_id, strftime(ts, '%Y_%m_%d_%H%M%S') AS slug FROM events")
@@ -397,18 +396,18 @@ def _d1_sql():
 def d1_query_dedup(spark, sf):
     b = _base(spark, sf, main=False)
     twice = b.unionByName(b.withColumn("page_id", F.col("page_id") + F.lit(1_000_000_000_000)))
-    h = HT.keyword_hits(twice, CFG, CFG.blocked_host_tokens)
+    h = HT.keyword_hits(twice, CFG, CFG.blocked_host_tokens).filter("valid")
     return HT.first_per_url(h.select("task_name", "query_idx", "normalized_url", "src_pos"))
 
 
-@register("w1_rank", _sql(HITS, "SELECT task_name, query_idx::BIGINT AS query_idx, normalized_url, rank FROM ranked_hits"))
+@register("w1_rank", _sql(HITS, "SELECT task_name, query_idx::BIGINT AS query_idx, normalized_url, rank FROM all_ranked"))
 def w1_rank(spark, sf):
     """W1 over all kept hits (no top-k): positions per query without a
     one-task window (a query may match a third of all pages)."""
     from ..operators.ranking import positions
 
     b = _base(spark, sf, main=False)
-    h = HT.first_per_url(HT.keyword_hits(b, CFG, CFG.blocked_host_tokens).select("task_name", "query_idx", "normalized_url", "src_pos"))
+    h = HT.first_per_url(HT.keyword_hits(b, CFG, CFG.blocked_host_tokens).filter("valid").select("task_name", "query_idx", "normalized_url", "src_pos"))
     return positions(h, ["task_name", "query_idx"], [F.col("src_pos")], "rank").select("task_name", "query_idx", "normalized_url", "rank")
 
 

@@ -484,11 +484,16 @@ def hits_ctes(cfg: TaskConfig, src: str = "page_base", id_col: str = "page_id",
         f"{p}clause_hits AS (SELECT p.task_name, p.query_idx, p.alt_idx, p.n_clauses, s.src_pos, count(DISTINCT p.clause_idx) AS n "
         f"FROM {p}searchable s JOIN phrases p ON strpos(s.search, p.phrase) > 0 GROUP BY ALL)",
         f"{p}matched AS (SELECT DISTINCT task_name, query_idx, src_pos FROM {p}clause_hits WHERE n = n_clauses)",
-        f"{p}valid AS (SELECT m.task_name, m.query_idx, h.* EXCLUDE (search), q.top_k FROM {p}matched m "
+        f"{p}answered AS (SELECT m.task_name, m.query_idx, h.* EXCLUDE (search), q.top_k, q.primary_fails, "
+        f"row_number() OVER (PARTITION BY m.task_name, m.query_idx ORDER BY m.src_pos) AS place FROM {p}matched m "
         f"JOIN {p}searchable h ON h.src_pos = m.src_pos JOIN queries q ON q.task_name = m.task_name AND q.query_idx = m.query_idx "
-        f"WHERE h.title <> '' AND h.normalized_url <> '' AND {blocked} "
-        "AND NOT coalesce(list_bool_or(list_transform(q.exclude_hosts, lambda x: h.domain = x OR ends_with(h.domain, '.' || x))), FALSE))",
+        "WHERE NOT coalesce(list_bool_or(list_transform(q.exclude_hosts, lambda x: h.domain = x OR ends_with(h.domain, '.' || x))), FALSE))",
+        f"{p}allowed AS (SELECT * FROM {p}answered h WHERE h.title <> '' AND h.normalized_url <> '' AND {blocked})",
+        # the fallback provider returns top_k results before the filters
+        f"{p}valid AS (SELECT * EXCLUDE (place, primary_fails) FROM {p}allowed WHERE NOT primary_fails OR place <= top_k)",
         f"{p}first_url AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY task_name, query_idx, normalized_url ORDER BY src_pos) AS rn FROM {p}valid) WHERE rn = 1)",
+        f"{p}all_first AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY task_name, query_idx, normalized_url ORDER BY src_pos) AS rn FROM {p}allowed) WHERE rn = 1)",
+        f"{p}all_ranked AS (SELECT *, row_number() OVER (PARTITION BY task_name, query_idx ORDER BY src_pos) AS rank FROM {p}all_first)",
         f"{p}ranked_hits AS (SELECT *, row_number() OVER (PARTITION BY task_name, query_idx ORDER BY src_pos) AS rank FROM {p}first_url)",
         f"{p}hits AS (SELECT {lit(cfg.run_id)} AS run_id, r.task_name, r.query_idx, "
         "CASE WHEN q.primary_fails THEN 'fallback' ELSE 'primary' END AS provider, "
