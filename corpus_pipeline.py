@@ -44,7 +44,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Leaves the document with the smallest doc_id of each component of near copies."""
-    gone = simhash.near_dedup(docs).filter(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
+    gone = simhash.near_dedup(docs, shingle=3, distance=3).filter(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 

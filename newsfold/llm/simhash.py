@@ -2,16 +2,17 @@
 
 A fingerprint has a bit for every position that is set in over half of the
 XXH64 values of a text's word shingles.  Only distinct fingerprints are
-compared.  Their 64 bits form a ring of four segments; two fingerprints that
-differ in at most 3 bits have a segment i from which every chain of l
-consecutive segments differs in at most l * 3/4 bits: 0, 1, 2, 3.  So segment i
-agrees, and of the two halves of segment i + 1 at least one does: each
-fingerprint stands under eight keys of 24 bits.  Pairs under a key must pass
-the chains before their full distance is looked at.
+compared.  For links of at most d differing bits the 64 bits form a ring of
+d + 1 segments; two linked fingerprints have a segment i from which every
+chain of l consecutive segments differs in at most l * d / (d + 1) bits, that
+is l - 1.  So segment i agrees, and of the two halves of segment i + 1 at
+least one does: with d = 3 each fingerprint stands under eight keys of 24
+bits.  Pairs under a key must pass the chains before their full distance is
+looked at.
 
 A key with more than GROUP fingerprints is not compared in one task: of the
-bits outside the key, cut into four blocks, at least one block agrees in
-every link, so the key's rows go on under four longer keys.  Keys grow until a
+bits outside the key, cut into d + 1 blocks, at least one block agrees in
+every link, so the key's rows go on under d + 1 longer keys.  Keys grow until a
 group is small; with all but 10 bits in the key no group is larger than GROUP.
 Inside a group the links are reduced to one row per linked fingerprint and
 pass, so no group emits all its pairs.  Components are joined over these rows.
@@ -36,7 +37,6 @@ from .graph import component_roots
 SHINGLE = 3
 DISTANCE = 3
 GROUP = 1024
-SEGMENT = 16
 #: Fingerprints per distance matrix when groups of equal size are compared together.
 CELLS = 1 << 20
 
@@ -73,31 +73,40 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id"
     return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(hashed, "doc_id long, fp long")
 
 
-def first_masks() -> list[tuple[int, int]]:
-    """The eight keys: (segment i, bits of segment i and of one half of the next)."""
+def ring(distance: int) -> list[list[int]]:
+    """For each segment, the masks of the chains of 1, 2, ... segments from it."""
+    segments = [sum(1 << int(b) for b in bits) for bits in np.array_split(np.arange(64), distance + 1)]
+    n = len(segments)
+    return [[sum(segments[(i + j) % n] for j in range(length)) for length in range(1, n + 1)] for i in range(n)]
+
+
+def first_masks(distance: int) -> list[tuple[int, int]]:
+    """The first keys: (segment i, bits of segment i and of one half of the next)."""
+    if distance == 0:
+        return [(0, (1 << 64) - 1)]
     out = []
-    for i in range(4):
-        own = ((1 << SEGMENT) - 1) << (SEGMENT * i)
-        following = SEGMENT * ((i + 1) % 4)
-        out += [(i, own | (0xFF << (following + half))) for half in (0, 8)]
+    for i, chains in enumerate(ring(distance)):
+        following = [b for b in range(64) if (chains[1] & ~chains[0]) >> b & 1]
+        out += [(i, chains[0] | sum(1 << int(b) for b in half)) for half in np.array_split(following, 2)]
     return out
 
 
-def longer_masks(mask: int) -> list[int]:
-    """The mask with each of four blocks of the bits outside it."""
+def longer_masks(mask: int, distance: int) -> list[int]:
+    """The mask with each of distance + 1 blocks of the bits outside it."""
     free = [b for b in range(64) if not mask >> b & 1]
-    return [mask | sum(1 << int(b) for b in block) for block in np.array_split(free, DISTANCE + 1)]
+    return [mask | sum(1 << int(b) for b in block) for block in np.array_split(free, distance + 1)]
 
 
-def _linked(x: np.ndarray, segment: np.ndarray) -> np.ndarray:
-    """Whether differences x pass the chains from the segment and the full distance."""
-    ring = (x >> (segment * np.uint64(SEGMENT))) | (x << ((np.uint64(64) - segment * np.uint64(SEGMENT)) % np.uint64(64)))
-    ok = np.bitwise_count(ring & np.uint64((1 << 2 * SEGMENT) - 1)) <= 1
-    ok &= np.bitwise_count(ring & np.uint64((1 << 3 * SEGMENT) - 1)) <= 2
-    return ok & (np.bitwise_count(x) <= DISTANCE)
+def _linked(x: np.ndarray, segment: np.ndarray, distance: int) -> np.ndarray:
+    """Whether differences x pass the chains from the segment; the longest is the full distance."""
+    chains = np.array(ring(distance), np.uint64)
+    ok = np.ones(np.broadcast_shapes(x.shape, segment.shape), bool)
+    for length in range(1, distance + 2):
+        ok &= np.bitwise_count(x & chains[segment, length - 1]) < length
+    return ok
 
 
-def _links(segments: np.ndarray, fps: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _links(segments: np.ndarray, fps: np.ndarray, starts: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
     """fps stand in groups that begin at starts (the last start is the end).
     Returns pairs that connect, within each group, what its links connect."""
     out_a, out_b = [], []
@@ -108,7 +117,7 @@ def _links(segments: np.ndarray, fps: np.ndarray, starts: np.ndarray) -> tuple[n
         for i in range(0, len(at), step):
             rows = at[i : i + step, None] + np.arange(g)
             f = fps[rows]
-            near = _linked(f[:, :, None] ^ f[:, None, :], segments[rows[:, :1]][:, :, None])
+            near = _linked(f[:, :, None] ^ f[:, None, :], segments[rows[:, :1]][:, :, None], distance)
             some = near.sum(axis=(1, 2)) > g
             if not some.any():
                 continue
@@ -126,14 +135,14 @@ def _links(segments: np.ndarray, fps: np.ndarray, starts: np.ndarray) -> tuple[n
     return np.concatenate([none, *out_a]), np.concatenate([none, *out_b])
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _compare(batches: Iterator[pa.RecordBatch], distance: int) -> Iterator[pa.RecordBatch]:
     """Rows segment, mask, value, fp, sorted by the first three; groups may run over batches."""
     held: list[np.ndarray] = []
 
     def compared(rows: list[np.ndarray]) -> pa.RecordBatch:
         segments, masks, values, fps = rows
         changes = np.flatnonzero((masks[1:] != masks[:-1]) | (values[1:] != values[:-1])) + 1
-        a, b = _links(segments.astype(np.uint64), fps.view(np.uint64), np.concatenate([[0], changes, [len(fps)]]))
+        a, b = _links(segments, fps.view(np.uint64), np.concatenate([[0], changes, [len(fps)]]), distance)
         return pa.record_batch([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
 
     for batch in batches:
@@ -156,10 +165,10 @@ def _signed(mask: int) -> int:
     return mask - (1 << 64) if mask >> 63 else mask
 
 
-def links(fps: DataFrame, group: int = GROUP) -> DataFrame:
+def links(fps: DataFrame, distance: int = DISTANCE, group: int = GROUP) -> DataFrame:
     """fps: distinct fingerprints fp.  Pairs a, b whose components are those of all links."""
     spark = fps.sparkSession
-    level = first_masks()
+    level = first_masks(distance)
     keys = F.array(*[F.struct(F.lit(i).alias("segment"), F.lit(_signed(m)).alias("mask")) for i, m in level])
     rows = fps.select("fp", F.explode(keys).alias("key")).select(F.col("key.segment").cast("long").alias("segment"), "key.mask", F.col("fp").bitwiseAND(F.col("key.mask")).alias("value"), "fp")
     masks = {m for _, m in level}
@@ -170,24 +179,24 @@ def links(fps: DataFrame, group: int = GROUP) -> DataFrame:
         columns = ["segment", "mask", "value", "fp"]
         small = sized.filter(F.col("n") <= group).select(*columns)
         placed = small.repartition(shuffle_partitions(fps), "segment", "mask", "value").sortWithinPartitions("segment", "mask", "value")
-        pairs = placed.mapInArrow(_compare, "a long, b long").distinct()
+        pairs = placed.mapInArrow(lambda batches: _compare(batches, distance), "a long, b long").distinct()
         found = pairs if found is None else found.union(pairs)
         large = sized.filter(F.col("n") > group).select(*columns)
         if large.isEmpty():
             return found
-        deeper = {m: longer_masks(m) for m in masks}
+        deeper = {m: longer_masks(m, distance) for m in masks}
         table = spark.createDataFrame([(_signed(m), _signed(x)) for m, xs in deeper.items() for x in xs], "mask long, longer long")
-        rows = large.join(F.broadcast(table), "mask").select(  # four rows for each mask of the level
+        rows = large.join(F.broadcast(table), "mask").select(  # distance + 1 rows for each mask of the level
             "segment", F.col("longer").alias("mask"), F.col("fp").bitwiseAND(F.col("longer")).alias("value"), "fp"
         )
         masks = {x for xs in deeper.values() for x in xs}
 
 
-def near_dedup(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_dedup(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, fingerprint, component_id, kept for every row; the component's smallest id is kept."""
     prints = cut(fingerprints(docs, shingle, id_col, text_col))
     distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    roots = component_roots(links(distinct.select("fp")))
+    roots = component_roots(links(distinct.select("fp"), distance))
     rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     component = rooted.join(named, "root").select("fp", "component_id")

@@ -103,8 +103,8 @@ def test_near(spark):
     assert spark_rows(got) == near_by_hand(rows)
 
 
-@pytest.mark.parametrize("group", [60, 1024])
-def test_links_of_crowded_fingerprints(spark, group):
+@pytest.mark.parametrize("distance,group", [(3, 60), (3, 1024), (2, 1024), (6, 1024), (0, 1024)])
+def test_links_of_crowded_fingerprints(spark, distance, group):
     """Many fingerprints under one key, so that keys grow longer when a group is small."""
     r = random.Random(4)
     fps = set()
@@ -115,20 +115,21 @@ def test_links_of_crowded_fingerprints(spark, group):
                 fp ^= 1 << bit
             fps.add(fp)
     signed = {simhash._signed(fp): fp for fp in fps}
-    roots = {x.node: x.root for x in component_roots(simhash.links(spark.createDataFrame([(x,) for x in signed], "fp long"), group)).collect()}
+    roots = {x.node: x.root for x in component_roots(simhash.links(spark.createDataFrame([(x,) for x in signed], "fp long"), distance, group)).collect()}
     got = defaultdict(set)
     for x, fp in signed.items():
         got[roots.get(x, x)].add(fp)
-    assert set(map(frozenset, got.values())) == set(components_by_hand(fps).values())
+    assert set(map(frozenset, got.values())) == set(components_by_hand(fps, distance).values())
 
 
-def test_chain_condition_keeps_every_link():
+@pytest.mark.parametrize("distance", [1, 3, 5])
+def test_chain_condition_keeps_every_link(distance):
     r = random.Random(5)
-    keys = simhash.first_masks()
-    for _ in range(20_000):
-        x = sum(1 << b for b in r.sample(range(64), r.randrange(4)))
+    keys = simhash.first_masks(distance)
+    for _ in range(5000):
+        x = sum(1 << b for b in r.sample(range(64), r.randrange(distance + 1)))
         met = [i for i, mask in keys if x & mask == 0]
-        assert any(simhash._linked(np.array([x], np.uint64), np.array([i], np.uint64))[0] for i in met)
+        assert any(simhash._linked(np.array([x], np.uint64), np.array([i]), distance)[0] for i in met)
 
 
 # ------------------------------------------------------------------ repeated passages
