@@ -823,11 +823,17 @@ def c1_leader(spark, sf):
     return leader_labels(_features(spark, sf).checkpoint()).select("seq", "label")
 
 
+@register("c1_refined", _sqlr(CORPUS + O.edge_ctes() + O.leader_ctes("labels_0") + O.refine_ctes(), "SELECT seq, label FROM labels"))
+def c1_refined(spark, sf):
+    labels, _ = cluster_labels(_features(spark, sf).checkpoint(), "refined")
+    return labels.select("seq", "label")
+
+
 # ================================================================ Q1
 
 
 def _q1_sql():
-    ctes = HITS + O.resolve_ctes(CFG, "hits") + O.dedup_ctes("resolved") + O.feature_ctes() + O.edge_ctes() + O.leader_ctes()
+    ctes = HITS + O.resolve_ctes(CFG, "hits") + O.dedup_ctes("resolved") + O.feature_ctes() + O.edge_ctes() + O.leader_ctes("labels_0") + O.refine_ctes()
     ctes += O.cluster_ctes("final_event_cap")
     ctes = [c.replace("FROM summary)", "FROM (SELECT s.*, q.final_event_cap FROM summary s JOIN (SELECT DISTINCT task_name, final_event_cap FROM queries) q USING (task_name)))") if c.startswith("ordered AS") else c for c in ctes]
     return _sqlr(

@@ -357,8 +357,8 @@ def feature_ctes(src: str = "d3") -> list[str]:
     ]
 
 
-def edge_ctes() -> list[str]:
-    """Brute-force edges between feature classes (oracle of the prefix join)."""
+def pair_rules() -> tuple[str, str, str]:
+    """M2, M3 and M4 between the rows a and b."""
     m2 = overlap_ok("len(list_intersect(a.tokens, b.tokens))", "len(a.tokens)", "len(b.tokens)", K.TOKEN_OVERLAP_PCT)
     tinter = "len(list_intersect(a.title_tokens, b.title_tokens))"
     m3 = (
@@ -371,6 +371,12 @@ def edge_ctes() -> list[str]:
         + " AND "
         + overlap_ok("len(list_intersect(a.tokens, b.tokens))", "len(a.tokens)", "len(b.tokens)", K.TITLE_TOKEN_OVERLAP_PCT)
     )
+    return m2, m3, m4
+
+
+def edge_ctes() -> list[str]:
+    """Brute-force edges between feature classes (oracle of the prefix join)."""
+    m2, m3, m4 = pair_rules()
     return [
         "cls_m AS (SELECT run_id, task_name, seq, min(seq) OVER (PARTITION BY run_id, task_name, tokens, title_tokens, version, signature) AS class_seq, "
         "tokens, title_tokens, version, signature FROM feat WHERE len(tokens) > 0)",
@@ -401,8 +407,8 @@ def component_ctes() -> list[str]:
     ]
 
 
-def leader_ctes() -> list[str]:
-    """labels(run_id, task_name, seq, label): a recursive walk over the pages in
+def leader_ctes(out: str = "labels") -> list[str]:
+    """``out``(run_id, task_name, seq, label): a recursive walk over the pages in
     their order that carries the founders so far."""
     return [
         "pg AS (SELECT f.run_id, f.task_name, f.seq, f.signature, coalesce(c.class_seq, f.seq) AS class_seq, "
@@ -417,11 +423,38 @@ def leader_ctes() -> list[str]:
         "SELECT nb.n, CASE WHEN len(list_intersect(led.founders, nb.before)) = 0 THEN list_append(led.founders, nb.n) ELSE led.founders END "
         "FROM led JOIN nb ON nb.n = led.n + 1)",
         "allf AS (SELECT arg_max(founders, n) AS founders FROM led)",
-        "labels AS (SELECT pg.run_id, pg.task_name, pg.seq, coalesce(f.seq, pg.seq) AS label FROM pg JOIN nb USING (n) CROSS JOIN allf "
+        f"{out} AS (SELECT pg.run_id, pg.task_name, pg.seq, coalesce(f.seq, pg.seq) AS label FROM pg JOIN nb USING (n) CROSS JOIN allf "
         "LEFT JOIN pg f ON f.n = list_min(list_intersect(allf.founders, nb.before)))",
     ]
 
 
+#: Rounds of refinement in the SQL; more change nothing on the test tables (compared by the oracle check).
+REFINE_ROUNDS = 3
+
+
+def refine_ctes(rounds: int = REFINE_ROUNDS) -> list[str]:
+    """labels after refinement of ``labels_0``: lone pages against the earlier
+    clusters of several pages as they are in each round."""
+    m2, m3, m4 = pair_rules()
+    key = "run_id, task_name, label"
+    out = []
+    for k in range(rounds):
+        out += [
+            f"rf{k} AS (SELECT f.*, l.label, count(*) OVER w AS size, row_number() OVER (PARTITION BY f.run_id, f.task_name, l.label "
+            "ORDER BY f.official_bonus DESC, f.domain_score DESC, f.content_chars DESC, f.seq) AS place "
+            f"FROM feat f JOIN labels_{k} l USING (run_id, task_name, seq) WINDOW w AS (PARTITION BY f.run_id, f.task_name, l.label))",
+            f"ru{k} AS (SELECT {key}, list_distinct(flatten(list(tokens))) AS tokens, "
+            f"coalesce(arg_min(signature, seq) FILTER (WHERE signature <> ''), '') AS signature FROM rf{k} WHERE size > 1 GROUP BY ALL)",
+            f"rc{k} AS (SELECT {key}, u.tokens, u.signature, r.title_tokens, r.version FROM rf{k} r JOIN ru{k} u USING ({key}) WHERE r.place = 1)",
+            f"rm{k} AS (SELECT a.run_id, a.task_name, a.seq, min(b.label) AS dest FROM rf{k} a JOIN rc{k} b "
+            "ON a.run_id = b.run_id AND a.task_name = b.task_name AND b.label < a.seq WHERE a.size = 1 "
+            f"AND ((a.signature <> '' AND a.signature = b.signature) OR ({m2}) OR ({m3}) OR ({m4})) GROUP BY ALL)",
+            f"labels_{k + 1} AS (SELECT l.run_id, l.task_name, l.seq, coalesce(m.dest, l.label) AS label FROM labels_{k} l "
+            f"LEFT JOIN rm{k} m USING (run_id, task_name, seq))",
+        ]
+    return out + [f"labels AS (SELECT * FROM labels_{rounds})"]
+
+
 def cluster_ctes(cap_expr: str) -> list[str]:
     """members, summary (C8/D4/D7/D8), ranked (T2/T3/W2) and srcs.
     ``cap_expr`` gives final_event_cap for a row of summary (column or literal)."""

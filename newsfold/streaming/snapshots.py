@@ -39,7 +39,7 @@ def start_snapshot_runs(
     cfg: TaskConfig,
     out_dir: str,
     checkpoint_location: str | None = None,
-    cluster_mode: str = "leader",
+    cluster_mode: str = "refined",
     name: str = "snapshots",
     available_now: bool = True,
 ):
