@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from .common import corpus_bytes, pack_sorted, planes, shuffle_partitions, text_of, unpack_sorted
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 KEYS_PER_BUCKET = 2 << 20
 #: Words are hashed, and bytes looked at, so many documents' bytes at a time.
 CHUNK_BYTES = 1 << 20

@@ -3,7 +3,8 @@
 The n-gram counts of all orders stand in tables partitioned by the n-gram's
 hash.  The documents' n-grams, exploded and summed per block of documents, are
 joined to the tables partition by partition: a partition sums the counts of all
-blocks into its part of the table and returns to each block the totals of the n-grams it holds.  Each document
+blocks into its part of the table and returns to each block the totals of the n-grams it holds.  Words and pairs
+go first; a longer n-gram is only asked for where both shorter ones in it are in the tables.  Each document
 then sums the logarithms of its words' scores.
 
 A word's score is c(n-gram) / c(n-gram without its last word) for the longest n-gram ending in it that is in the tables;
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .common import mix, pack, unpack
-from .exchange import BLOCK_BYTES, Blocks, answer, ids_array, word_hashes
+from .exchange import BLOCK_BYTES, Blocks, answer, ids_array, union, word_hashes
 
 ORDER = 3
 ALPHA = 0.4
@@ -35,38 +36,52 @@ COLUMNS = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("score",
 
 
 class Grams:
-    """The n-grams of a block's texts: for each order, distinct hashes, where each stands, and counts."""
+    """The n-grams of a block's texts, order by order: next() moves to the next order, learn() takes its table's counts.
+    From order 3 on only n-grams whose two shorter parts are in the tables can be in them, so only those are looked at."""
 
-    def __init__(self, texts: list[bytes], order: int) -> None:
-        words, self.counts = word_hashes(texts)
+    def __init__(self, texts: list[bytes], min_count: int) -> None:
+        self.words, self.counts = word_hashes(texts)
+        self.min_count = min_count
         ends = np.cumsum(self.counts)
-        n = len(words)
-        room = np.repeat(ends, self.counts) - np.arange(n)
-        self.place = np.arange(n) - np.repeat(ends - self.counts, self.counts)  # of the word in its document
-        self.orders: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
-        hashes = mix(words)
-        for m in range(1, order + 1):
-            starts = np.flatnonzero(room >= m)
-            if m > 1:
-                hashes[starts] = mix(hashes[starts] * np.uint64(0x9E3779B97F4A7C15) + words[starts + m - 1])
-            self.orders.append((starts, *np.unique(hashes[starts], return_inverse=True, return_counts=True)))
-
-
-def log_scores(grams: Grams, totals: list[np.ndarray], n_words: int, alpha: float, min_count: int) -> np.ndarray:
-    """log10 of each word's score; totals are the table's counts of each order's distinct n-grams."""
+        places = np.arange(len(self.words))
+        self.room = (np.repeat(ends, self.counts) - places).astype(np.int32)
+        self.place = (places - np.repeat(ends - self.counts, self.counts)).astype(np.int32)  # of the word in its document
+        self.hashes = mix(self.words)
+        self.order = 0
+        self.tables: list[np.ndarray] = []  # for each order, the count of the n-gram that starts at each word
+
+    def next(self) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted distinct hashes of the next order's n-grams, and how often each occurs here."""
+        self.order += 1
+        starts = np.flatnonzero(self.room >= self.order)
+        if self.order > 1:
+            self.hashes[starts] = mix(self.hashes[starts] * np.uint64(0x9E3779B97F4A7C15) + self.words[starts + self.order - 1])
+        if self.order > 2:
+            shorter = self.tables[-1] >= self.min_count
+            starts = starts[shorter[starts] & shorter[starts + 1]]
+        keys, which, times = np.unique(self.hashes[starts], return_inverse=True, return_counts=True)
+        self.asked = starts, which
+        return keys, times.astype(np.uint32)
+
+    def learn(self, totals: np.ndarray) -> None:
+        table = np.zeros(len(self.words), np.int64)
+        starts, which = self.asked
+        table[starts] = totals[which]
+        self.tables.append(table)
+
+
+def log_scores(grams: Grams, n_words: int, alpha: float) -> np.ndarray:
+    """log10 of each word's score."""
     n = len(grams.place)
-    ending = np.zeros((len(totals) + 1, n))  # count of the n-gram of each order that ends at the word
-    starting = np.zeros((len(totals) + 1, n))  # and that starts at it
-    for m, (total, (starts, _, which, _)) in enumerate(zip(totals, grams.orders), 1):
-        starting[m][starts] = total[which]
-        ending[m][starts + m - 1] = total[which]
     out, passed, open_ = np.zeros(n), np.zeros(n), np.ones(n, bool)
-    for m in range(len(totals), 0, -1):
-        there = open_ & (grams.place >= m - 1)
-        at = np.flatnonzero(there & (ending[m] >= (min_count if m > 1 else 1)))
-        below = starting[m - 1][at - m + 1] if m > 1 else float(n_words)
-        out[at] = np.log10(ending[m][at] / below) + passed[at] * np.log10(alpha)
-        passed += there
+    for order in range(len(grams.tables), 0, -1):
+        there = np.flatnonzero(open_ & (grams.place >= order - 1))
+        found = grams.tables[order - 1][there - order + 1]
+        kept = found >= (grams.min_count if order > 1 else 1)
+        at = there[kept]
+        below = grams.tables[order - 2][at - order + 1] if order > 1 else float(n_words)
+        out[at] = np.log10(found[kept] / below) + passed[at] * np.log10(alpha)
+        passed[there] += 1
         open_[at] = False
     return out
 
@@ -84,10 +99,28 @@ def score(
     blocks = Blocks(docs, id_col, text_col, block_bytes)
     bits = blocks.bucket_bits(blocks.bytes / 6)
 
-    def question(ids, texts, told):
-        grams = Grams(texts, order)
-        out = [(m, keys, [times.astype(np.uint32)]) for m, (_, keys, _, times) in enumerate(grams.orders, 1)]
-        return [(WORDS, np.zeros(1, np.uint64), [grams.counts.sum(keepdims=True).astype(np.uint64)]), *out]
+    def reach(texts, told, orders):
+        grams = Grams(texts, min_count)
+        for m in range(1, orders + 1):
+            grams.next()
+            grams.learn(np.concatenate([np.zeros(0, np.int64), *[unpack(a, np.int64) for a in told.get(m, [])]]))
+        return grams
+
+    def first_orders(ids, texts, told):
+        grams = Grams(texts, min_count)
+        n = grams.counts.sum(keepdims=True).astype(np.uint64)
+        out = [(WORDS, np.zeros(1, np.uint64), [n])]
+        for m in range(1, min(order, 2) + 1):
+            keys, times = grams.next()
+            out.append((m, keys, [times]))
+        return out
+
+    def of_order(m):
+        def question(ids, texts, told):
+            keys, times = reach(texts, told, m - 1).next()
+            return [(m, keys, [times])]
+
+        return question
 
     def merge(kind, keys, extras):
         unit = np.dtype(np.uint64 if kind == WORDS else np.uint32)
@@ -98,16 +131,17 @@ def score(
         return [pack(x) for x in np.split(totals[which], np.cumsum([len(k) for k in keys])[:-1])]
 
     def result(ids, texts, told):
-        grams = Grams(texts, order)
-        unpacked = {kind: np.concatenate([unpack(a, np.int64) for a in parts]) for kind, parts in told.items()}
-        none = np.zeros(0, np.int64)
-        logs = log_scores(grams, [unpacked.get(m, none) for m in range(1, order + 1)], int(unpacked[WORDS][0]), alpha, min_count)
+        grams = reach(texts, told, order)
+        logs = log_scores(grams, int(unpack(told[WORDS][0], np.int64)[0]), alpha)
         ends = np.cumsum(grams.counts)
         sums = [round(float(logs[a:b].sum()), DECIMALS) for a, b in zip((ends - grams.counts).tolist(), ends.tolist())]
         means = [s / n if n else None for s, n in zip(sums, grams.counts.tolist())]
         return [ids_array(ids), grams.counts, sums, means]
 
-    return blocks.tell(result, answer(blocks.ask(bits, question), merge), ROWS, COLUMNS)
+    answers = [answer(blocks.ask(bits, first_orders), merge)]
+    for m in range(3, order + 1):
+        answers.append(answer(blocks.ask(bits, of_order(m), union(*answers)), merge))
+    return blocks.tell(result, union(*answers), ROWS, COLUMNS)
 
 
 ORACLE_SQL = rf"""
