@@ -66,4 +66,12 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_lm_score": lm_score.ORACLE_SQL, "op3_mixing": mixing.ORACLE_SQL, "op9_exact_top_k": topk.ORACLE_SQL, "op10_exact_dedup": exact_dedup.ORACLE_SQL}
+    own = {
+        "op1_lm_score": lm_score,
+        "op3_mixing": mixing,
+        "op4_suffix_array_dedup": suffix_dedup,
+        "op8_substring_dedup": substring_dedup,
+        "op9_exact_top_k": topk,
+        "op10_exact_dedup": exact_dedup,
+    }
+    return {name: module.ORACLE_SQL for name, module in own.items()}

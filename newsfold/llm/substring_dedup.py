@@ -176,3 +176,23 @@ def dedup(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_co
     return blocks.tell(result, union(*answers), ROWS, COLUMNS)
 
 
+
+
+ORACLE_SQL = rf"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), k AS (
+  SELECT doc_id, i, md5(array_to_string(w[i:i + {WINDOW - 1}], ' ')) AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - {WINDOW - 2})) AS i FROM d WHERE len(w) >= {WINDOW})
+), f AS (
+  SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) > 1 AS later FROM k
+), g AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + {WINDOW})) AS i FROM f WHERE later
+), p AS (
+  SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d
+), kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS text FROM p ANTI JOIN g USING (doc_id, i) GROUP BY doc_id
+)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, len(d.w) - coalesce(kept.n, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""

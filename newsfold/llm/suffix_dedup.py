@@ -231,3 +231,31 @@ def dedup(docs: DataFrame, threshold: int = THRESHOLD, id_col: str = "doc_id", t
         return [ids_array(ids), sizes, removed, spans, digests]
 
     return blocks.tell(result, union(known, digits, full), ROWS, COLUMNS)
+
+
+#: Texts as hexadecimal digits, two for each byte.
+ORACLE_SQL = f"""
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), k AS (
+  SELECT doc_id, p, md5(substring(h, 2 * p + 1, {2 * THRESHOLD})) AS s
+  FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - {THRESHOLD - 1})) AS p FROM d WHERE length(h) >= {2 * THRESHOLD})
+), c AS (
+  SELECT doc_id, p FROM (SELECT doc_id, p, count(*) OVER (PARTITION BY s) AS n FROM k) WHERE n > 1
+), o AS (
+  SELECT doc_id, p, coalesce(p > lag(p) OVER (PARTITION BY doc_id ORDER BY p) + {THRESHOLD}, TRUE)::INT AS opens FROM c
+), g AS (
+  SELECT doc_id, p, sum(opens) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM o
+), r AS (
+  SELECT doc_id, run, min(p) AS a, max(p) + {THRESHOLD} AS b FROM g GROUP BY doc_id, run
+), t AS (
+  SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS rest FROM r GROUP BY doc_id
+), x AS (
+  SELECT doc_id, a, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS past FROM r
+), y AS (
+  SELECT x.doc_id, string_agg(substring(h, 2 * past + 1, 2 * (a - past)), '' ORDER BY a) AS head FROM x JOIN d USING (doc_id) GROUP BY x.doc_id
+)
+SELECT d.doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(t.n_removed, 0)::BIGINT AS n_removed, coalesce(t.n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(y.head, '') || substring(h, 2 * coalesce(t.rest, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN t USING (doc_id) LEFT JOIN y USING (doc_id)
+"""
