@@ -30,6 +30,7 @@ from ..operators.leader import leader_labels
 from ..operators.pages import page_base, pages_as_resolved
 from ..operators.replies import parse_replies, render_replies
 from ..operators.resolve import resolve_hits
+from ..session import ensure_checkpoint_dir
 from ..sources import tables
 from ..sources.tasks import PROSE_CONFIG
 from . import oracle as O
@@ -74,7 +75,9 @@ def _base(spark, sf, main=True):
 
 
 def _resolved(spark, sf):
-    return pages_as_resolved(_pages(spark, sf))
+    """Cut once: the dedup elections and the rows they keep both read it."""
+    ensure_checkpoint_dir(spark)
+    return pages_as_resolved(_pages(spark, sf)).checkpoint()
 
 
 def _features(spark, sf):
