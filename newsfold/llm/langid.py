@@ -8,13 +8,15 @@ the context's count and d its number of distinct bytes; a byte not seen there
 pays the escape -log2(d / (n + d)) and is coded in the next shorter context,
 without the bytes that the longer one has ruled out, at last evenly over the bytes not yet ruled out.
 
-As nothing changes while scoring, all costs are worked out once: a table of
-(context node, byte) with a column per language, over the union of the trees.  Scoring is
-then two array look-ups a byte, in batches inside tasks, without a shuffle.
+The contexts are suffixes of each other, and whatever byte followed a longer one also followed the shorter one.  So what a longer
+context rules out changes the shorter one's n and d only, and the cost under a context is that under the next shorter one plus one of
+two numbers: one if the byte has followed the shorter context, one if not.  A language's tree is kept as sorted arrays of the
+contexts with these two numbers and of the (context, byte) pairs seen with their cost, so its size follows its own sample
+and not the other languages'.  Scoring looks the distinct byte runs of a block of texts up in one tree after the
+other, in batches inside tasks, without a shuffle.
 
-Training takes at most DOCS_PER_LANGUAGE whole documents of each language (those with the smallest hash of
-their id) and at most MAX_LANGUAGES languages; both bounds are parameters.  Contexts of ORDER bytes seen fewer than MIN_SEEN times
-in the sample of all languages are cut from the trees.
+Every language that has a labelled text takes part, with the whole of its tree.  Training takes at most DOCS_PER_LANGUAGE
+whole documents of each (those with the smallest hash of their id); the bound is a parameter.
 
 The predicted language has the smallest code length (ties: the first in code-point order); score is its share of 2^-length
 over all languages.  Null texts and texts without a letter are "und" with score 0, as is every text if there is
@@ -34,8 +36,6 @@ from pyspark.sql import types as T
 UNDETERMINED = "und"
 ORDER = 3
 DOCS_PER_LANGUAGE = 300
-MAX_LANGUAGES = 64
-MIN_SEEN = 12
 #: Bytes scored at a time, to bound a task's memory.
 CHUNK = 1 << 20
 #: Every text is read as if it followed this many line feeds.
@@ -62,100 +62,107 @@ def gram_counts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(grams, return_counts=True)
 
 
-def training_rows(docs: DataFrame, train, per_language: int, languages: int) -> DataFrame:
-    """doc_id, lang of the sample: at most languages * per_language rows."""
+def training_rows(docs: DataFrame, train, per_language: int) -> DataFrame:
+    """doc_id, language of the sample: at most per_language rows of each language."""
     usable = docs.filter(train & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang")
-    kept = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(languages)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
     sample = usable.withColumn("rank", rank).filter(F.col("rank") <= per_language)
-    return sample.join(F.broadcast(kept.select("lang")), "lang").select("doc_id", F.col("lang").alias("language")).distinct()
+    return sample.select("doc_id", F.col("lang").alias("language")).distinct()
+
+
+def _places(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each wanted value stands in the sorted keys, and whether it does."""
+    if not len(keys):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return at, keys[at] == wanted
+
+
+class Tree:
+    """One language's statistics, as costs.  For each length of context: the runs (context and byte) seen, their cost in bits,
+    the contexts, and what to add to the shorter context's cost for a byte that this one has not seen: to the cost of a byte
+    that the shorter one has seen, and of another."""
+
+    def __init__(self, grams: np.ndarray, counts: np.ndarray, min_seen: int) -> None:
+        self.levels: list[tuple[np.ndarray, ...]] = []
+        counts, shorter = counts.astype(np.float64), None
+        for order in range(ORDER + 1):
+            runs, which = np.unique(grams & ((1 << 8 * (order + 1)) - 1), return_inverse=True)
+            seen = np.bincount(which, counts, len(runs))
+            if order == ORDER and min_seen > 1:
+                _, of = np.unique(runs >> 8, return_inverse=True)
+                stays = np.bincount(of, seen)[of] >= min_seen
+                runs, seen = runs[stays], seen[stays]
+            nodes, of = np.unique(runs >> 8, return_inverse=True)
+            n, d = np.bincount(of, seen, len(nodes)), np.bincount(of, minlength=len(nodes)).astype(np.float64)
+            size, escape = np.log2(n + d), np.log2(n + d) - np.log2(d)
+            if shorter is None:
+                after_seen, after_other = np.zeros(len(nodes)), escape + np.log2(np.maximum(256 - d, 1))
+            else:
+                up, _ = _places(shorter["nodes"], nodes & ((1 << 8 * (order - 1)) - 1))
+                same, _ = _places(shorter["runs"], runs & ((1 << 8 * order) - 1))
+                n_left = shorter["n"][up] - np.bincount(of, shorter["seen"][same], len(nodes))
+                d_left = shorter["d"][up] - d
+                some = d_left > 0  # else the shorter context has nothing more to offer and costs nothing
+                left = np.log2(np.where(some, n_left + d_left, 1))
+                after_seen = escape + left - shorter["size"][up]
+                after_other = escape + left - np.log2(np.where(some, d_left, 1)) - shorter["escape"][up]
+            self.levels.append((runs.astype(np.uint32), (size[of] - np.log2(seen)).astype(np.float32), nodes.astype(np.uint32), after_seen.astype(np.float32), after_other.astype(np.float32)))
+            shorter = {"runs": runs, "seen": seen, "nodes": nodes, "n": n, "d": d, "size": size, "escape": escape}
+
+    def costs(self, suffixes: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """Bits of the last byte of each of the longest runs; suffixes has the distinct runs of each length and their places one shorter."""
+        bits, known = np.zeros(1), np.zeros(1, bool)
+        for (runs, cost, nodes, after_seen, after_other), (wanted, up) in zip(self.levels, suffixes):
+            bits, known = bits[up], known[up]
+            at, inside = _places(nodes, wanted >> 8)
+            if inside.any():
+                bits += np.where(inside, np.where(known, after_seen[at], after_other[at]), 0)
+            at, known = _places(runs, wanted)
+            if known.any():
+                bits = np.where(known, cost[at], bits)
+        return bits
 
 
 class Model:
-    """Cost table of all languages: costs[node * symbols + symbol] has a column per language."""
+    """The trees of all languages."""
 
-    def __init__(self, counts: dict[str, tuple[np.ndarray, np.ndarray]], min_seen: int = MIN_SEEN) -> None:
+    def __init__(self, counts: dict[str, tuple[np.ndarray, np.ndarray]], min_seen: int = 1) -> None:
+        """counts: runs of ORDER + 1 bytes and how often each occurs; contexts of ORDER bytes of fewer occurrences can be left out."""
         self.languages = sorted(counts)
-        grams = [counts[x][0] for x in self.languages]
-        seen = np.unique(np.concatenate([(g[:, None] >> np.arange(0, 8 * ORDER + 8, 8) & 255).ravel() for g in grams]))
-        self.symbol = np.full(256, len(seen), np.int64)  # the last symbol stands for each byte not seen
-        self.symbol[seen] = np.arange(len(seen))
-        self.symbols = s = len(seen) + 1
-        coded = [self._code(g) for g in grams]
-        contexts, which = np.unique(np.concatenate([g // s for g in coded]), return_inverse=True)
-        total = np.bincount(which, np.concatenate([counts[x][1] for x in self.languages]))
-        # nodes: for each length of context, the sorted contexts; length 0 is the root
-        self.nodes = [np.zeros(1, np.int64)]
-        for order in range(1, ORDER + 1):
-            self.nodes.append(np.unique((contexts if order < ORDER else contexts[total >= min_seen]) % s**order))
-        table = np.zeros((s,) * ORDER, np.int32)
-        first = np.cumsum([0] + [len(n) for n in self.nodes])
-        for order in range(1, ORDER + 1):
-            parts = [self.nodes[order] // s**k % s for k in range(order - 1, -1, -1)]
-            table[(..., *parts)] = first[order] + np.arange(len(parts[0]))
-        self.node_of = table.ravel()
-        self.costs = np.stack([self._costs(g, counts[x][1]) for g, x in zip(coded, self.languages)], axis=1).astype(np.float32)
-
-    def _code(self, grams: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(grams), np.int64)
-        for back in range(ORDER, -1, -1):
-            out = out * self.symbols + self.symbol[grams >> (8 * back) & 255]
-        return out
-
-    def _costs(self, grams: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        s, followed = self.symbols, []
-        for order, nodes in enumerate(self.nodes):
-            table = np.zeros((len(nodes), s))
-            context, symbol = grams // s % s**order, grams % s
-            at = np.minimum(np.searchsorted(nodes, context), len(nodes) - 1)
-            own = nodes[at] == context
-            np.add.at(table, (at[own], symbol[own]), counts[own])
-            followed.append(table)
-        return np.concatenate([self._node_costs(order, followed) for order in range(len(self.nodes))]).ravel()
-
-    def _node_costs(self, order: int, followed: list[np.ndarray]) -> np.ndarray:
-        s, nodes = self.symbols, self.nodes[order]
-        cost, escapes = np.zeros((len(nodes), s)), np.zeros(len(nodes))
-        open_ = np.ones((len(nodes), s), bool)
-        for shorter in range(order, -1, -1):
-            at = np.searchsorted(self.nodes[shorter], nodes % s**shorter)
-            counts = followed[shorter][at] * open_
-            n, d = counts.sum(axis=1), (counts > 0).sum(axis=1)
-            hit = counts > 0
-            with np.errstate(divide="ignore", invalid="ignore"):
-                cost = np.where(hit, escapes[:, None] - np.log2(counts / (n + d)[:, None]), cost)
-                escapes += np.where(n > 0, -np.log2(d / (n + d)), 0.0)
-            open_ &= ~hit
-        even = np.log2(256 - (~open_).sum(axis=1))
-        return np.where(open_, (escapes + even)[:, None], cost)
+        self.trees = [Tree(*counts[x], min_seen) for x in self.languages]
 
     def code_lengths(self, texts: list[bytes]) -> np.ndarray:
         """Bits of each text under each language."""
         out = np.zeros((len(texts), len(self.languages)))
         data, firsts, ends = _joined(texts)
-        for at in range(0, len(data), CHUNK):
-            block = self.symbol[data[max(0, at - ORDER) : at + CHUNK]]
-            skip = min(at, ORDER)
-            if not skip:  # the corpus begins with START, which is not scored
-                block, skip = np.concatenate([np.zeros(ORDER, np.int64), block]), ORDER
-            n = len(block) - skip
-            context = np.zeros(n, np.int64)
-            for back in range(ORDER, 0, -1):
-                context = context * self.symbols + block[ORDER - back : ORDER - back + n]
-            bits = self.costs[self.node_of[context] * np.int64(self.symbols) + block[ORDER:]]
+        for at in range(ORDER, len(data), CHUNK):  # the corpus begins with START, which is not scored
+            block = data[at - ORDER : at + CHUNK].astype(np.uint32)
+            n = len(block) - ORDER
+            runs = np.zeros(n, np.uint32)
+            for back in range(ORDER, -1, -1):
+                runs = runs << 8 | block[ORDER - back : ORDER - back + n]
             low, high = np.searchsorted(ends, at, side="right"), np.searchsorted(firsts, at + n)
             a, b = np.maximum(firsts[low:high], at) - at, np.minimum(ends[low:high], at + n) - at
             some = np.flatnonzero(b > a)
-            if len(some):
-                edges = np.stack([a[some], b[some]], axis=1).ravel()
-                bits = np.concatenate([bits, np.zeros((1, bits.shape[1]), np.float32)])
-                out[low + some] += np.add.reduceat(bits, edges, axis=0, dtype=np.float64)[::2]
+            if not len(some):
+                continue
+            edges = np.stack([a[some], b[some]], axis=1).ravel()
+            wanted, places = np.unique(runs, return_inverse=True)
+            suffixes = []
+            for order in range(ORDER, -1, -1):
+                shorter, up = np.unique(wanted & np.uint32((1 << 8 * order) - 1), return_inverse=True)
+                suffixes.append((wanted, up))
+                wanted = shorter
+            for column, tree in enumerate(self.trees):
+                bits = np.append(tree.costs(suffixes[::-1])[places], 0.0)
+                out[low + some, column] += np.add.reduceat(bits, edges)[::2]
         return out
 
 
-def train(docs: DataFrame, train_rows, per_language: int = DOCS_PER_LANGUAGE, languages: int = MAX_LANGUAGES) -> Model | None:
+def train(docs: DataFrame, train_rows, per_language: int = DOCS_PER_LANGUAGE) -> Model | None:
     """docs: doc_id, text, lang; train_rows: the condition of rows to learn from."""
-    sample = training_rows(docs, train_rows, per_language, languages)
+    sample = training_rows(docs, train_rows, per_language)
     texts = docs.select("doc_id", "text", "lang").join(F.broadcast(sample), "doc_id")  # as bounded as the sample
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,8 +178,11 @@ def train(docs: DataFrame, train_rows, per_language: int = DOCS_PER_LANGUAGE, la
     table = grams.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()  # as bounded as the sample
     if not table.num_rows:
         return None
-    langs, gram, n = np.array(table["lang"].to_pylist()), table["gram"].to_numpy(), table["n"].to_numpy()
-    return Model({x: (gram[langs == x], n[langs == x]) for x in np.unique(langs).tolist()})
+    langs = table["lang"].combine_chunks().dictionary_encode()
+    order = np.argsort(langs.indices.to_numpy(), kind="stable")
+    gram, n = table["gram"].to_numpy()[order], table["n"].to_numpy()[order]
+    edges = np.searchsorted(langs.indices.to_numpy()[order], np.arange(len(langs.dictionary) + 1))
+    return Model({x: (gram[a:b], n[a:b]) for x, a, b in zip(langs.dictionary.to_pylist(), edges, edges[1:])})
 
 
 def identify(docs: DataFrame, train_rows, keep: list[str] | None = None, **bounds) -> DataFrame:

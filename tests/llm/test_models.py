@@ -66,6 +66,31 @@ def test_language_of_awkward_rows(spark):
     assert set(got.lang_pred) <= {"und", "en", "de", "fr", "es"}
 
 
+def many_languages():
+    """90 languages of their own words each, the later the rarer, the last ones in a script of their own; the last two have 14 and 13 rows."""
+    rows = []
+    for k in range(90):
+        r = random.Random(k)
+        letters = "ႠႡႢႣႤႥႦႧႨႩႪႫ" if k == 89 else "ԱԲԳԴԵԶԷԸԹԺԻԼ" if k == 88 else "abcdefghijklmnopqrstuvwxyz"
+        vocabulary = ["".join(r.choices(letters, k=r.randint(3, 7))) for _ in range(25)]
+        rows += [(1000 * k + i, " ".join(r.choices(vocabulary, k=40)), f"l{k:02}", "a", 1) for i in range(102 - k)]
+    return rows
+
+
+def test_languages_beyond_any_number(spark):
+    docs = spark.createDataFrame(many_languages(), DOCS)
+    got = langid.predict(docs).join(docs.select("doc_id", "lang"), "doc_id").filter("held_out").toPandas()
+    assert got.lang.nunique() == 90 and (got[got.lang.isin(["l88", "l89"])].groupby("lang").size() >= 2).all()
+    assert (got.lang == got.lang_pred).groupby(got.lang).mean().min() == 1
+
+
+def test_rare_contexts_count():
+    training = {"big": [prose(1, 500).encode()] * 3, "rare": [b"the cat sat on the mat", b"a cat ran"]}
+    model = langid.Model({k: langid.gram_counts(v) for k, v in training.items()})
+    texts = [b"the cat ran", b"w1 w2 mat", b""]
+    assert np.allclose(model.code_lengths(texts), [[ppm_by_hand(training[k], t) for k in ("big", "rare")] for t in texts], atol=1e-4)
+
+
 def test_language_without_training(spark):
     got = langid.predict(spark.createDataFrame([(1, "abc", None, None, 1)], DOCS)).collect()
     assert [(r.lang_pred, r.score) for r in got] == [("und", 0.0)]

@@ -4,6 +4,7 @@ from collections import Counter
 
 from cases import DOCS, awkward, frame, prose, words
 from conftest import SF_SMALL
+from test_models import many_languages
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -57,6 +58,12 @@ def test_stages(spark):
     assert packed.filter("piece = 0").count() == mixed.count()
 
 
+def test_rare_languages_stay(spark):
+    rows = many_languages()
+    kept = corpus_pipeline.language_id(spark, spark.createDataFrame(rows, DOCS), None)
+    assert Counter(held(kept)) == Counter((d, t) for d, t, *_ in rows)
+
+
 def test_stages_on_an_empty_table(spark):
     docs = spark.createDataFrame([], DOCS)
     for _, stage in corpus_pipeline.STAGES:
