@@ -33,11 +33,11 @@ from .common import cut
 SEQUENCE = 1024
 END_ID = 2
 PIECES_PER_SLICE = 20_000
-#: A sum of two or three takes this share of what is available, and only lengths from a floor on: what stays back
-#: lets the best-fit step close the gaps of lengths that have no exact complement.  Which floor
-#: serves best depends on the lengths, so the plan is made with each (of a sequence's length) and the shortest is taken.
-SHARE = 0.5
-FLOORS = (0.15, 0.25, 0.35, 1.0)
+#: Ways of taking sums of two or three, from the longest length down.  A sum takes a share of what is available, at least one.  Of lengths
+#: below a floor (of a sequence's length) a share of the pieces is held back, with which the best-fit step closes the gaps of lengths
+#: that have no exact complement.  The longest length in a sum is at least so much of the longest left after single complements.
+#: What serves best depends on the lengths, so the plan is made in each way and the shortest is taken.
+WAYS = ((0.5, 0.0, 0.0, 0.0), (0.1, 0.15, 0.9, 0.0), (0.5, 0.0, 0.0, 0.85), (0.5, 0.15, 0.9, 0.8), (0.5, 0.0, 0.0, 0.9))
 VOCABULARY = "byte_bpe_50k"
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -105,14 +105,17 @@ class Plan:
 
     @classmethod
     def shortest(cls, counts: dict[int, int], sequence: int) -> Plan:
-        return min((cls(counts, sequence, floor) for floor in FLOORS), key=lambda plan: plan.sequences)
+        return min((cls(counts, sequence, *way) for way in WAYS), key=lambda plan: plan.sequences)
 
-    def __init__(self, counts: dict[int, int], sequence: int, floor: float) -> None:
+    def __init__(self, counts: dict[int, int], sequence: int, share: float, floor: float, held: float, least: float) -> None:
         self.sequence = sequence
-        self.floor = max(1, int(floor * sequence))
+        self.share, self.held_share, self.least = share, held, least
+        self.floor = int(floor * sequence)
         self.left = np.zeros(sequence + 1, np.int64)
         for length, n in counts.items():
             self.left[length] = n
+        self.held = np.zeros(sequence + 1, np.int64)  # what the sums of two and three leave of each length
+        self.filled = [0, 0, 0, 0]  # sequences filled by one, two, three, four lengths that sum up to them
         self.used = np.zeros(sequence + 1, np.int64)
         self.sequences = 0
         self.runs: list[tuple[int, int, int, int, int]] = []  # length, from, to, first sequence, offset
@@ -133,33 +136,43 @@ class Plan:
         self.sequences += n
         return first
 
-    def _available(self, lengths: tuple[int, ...]) -> int:
-        return min(int(self.left[x]) // lengths.count(x) for x in lengths)
-
     def _consume(self, lengths: tuple[int, ...], share: float = 1.0) -> None:
-        if n := int(self._available(lengths) * share):
+        n = min(int(self.left[x] - self.held[x]) // lengths.count(x) for x in lengths)
+        if n > 0:
+            n = max(1, int(n * share))
             self._open(lengths, n)
+            self.filled[len(lengths) - 1] += n
 
     def _fill(self) -> None:
         full = self.sequence
         self._consume((full,))
         for length in range(full - 1, full // 2 - 1, -1):  # the complement is a single length
             self._consume((length, full - length))
-        for length in range(full // 3, full):  # a sum of two; length is the largest of the sequence's lengths
+        least = int(self.least * max(np.flatnonzero(self.left), default=0))
+        self.held[: self.floor] = self.left[: self.floor] * self.held_share
+        for length in range(full - 1, max(full // 3, least) - 1, -1):  # a sum of two; length is the largest of the sequence's lengths
             gap = full - length
-            for a in range((gap + 1) // 2, min(length, gap - self.floor) + 1):
-                if self.left[length] and self.left[a] and self.left[gap - a]:
-                    self._consume((length, a, gap - a), SHARE)
-        for length in range(full // 4, full):  # a sum of three
+            a = np.arange((gap + 1) // 2, min(length, gap - 1) + 1)
+            for x in a[self._open_to(a) & self._open_to(gap - a)].tolist():
+                if not self._open_to(length):
+                    break
+                self._consume((length, x, gap - x), self.share)
+        for length in range(full - 1, max(full // 4, least) - 1, -1):  # a sum of three
             gap = full - length
-            for a in range((gap + 2) // 3, min(length, gap - 2 * self.floor) + 1):
-                if self.left[length] and self.left[a]:
+            for a in range((gap + 2) // 3, min(length, gap - 2) + 1):
+                if not self._open_to(length):
+                    break
+                if self._open_to(a):
                     rest = gap - a
-                    b = np.arange((rest + 1) // 2, min(a, rest - self.floor) + 1)
-                    for x in b[(self.left[b] > 0) & (self.left[rest - b] > 0)].tolist():
-                        self._consume((length, a, x, rest - x), SHARE)
+                    b = np.arange((rest + 1) // 2, min(a, rest - 1) + 1)
+                    for x in b[self._open_to(b) & self._open_to(rest - b)].tolist():
+                        self._consume((length, a, x, rest - x), self.share)
         self._best_fit()
 
+    def _open_to(self, lengths):
+        """Whether a sum may take of these lengths."""
+        return self.left[lengths] > self.held[lengths]
+
     def _best_fit(self) -> None:
         gaps: dict[int, list[tuple[int, int]]] = {}  # gap: (first sequence, number of sequences)
         for length in range(self.sequence - 1, 0, -1):

@@ -133,6 +133,15 @@ def test_plan_places_every_piece(seed):
     assert plan.sequences <= best_fit(lengths.tolist(), 1024)
 
 
+def test_exact_sums_of_lengths_that_occur_once():
+    lengths = [500, 300, 224, 400, 350, 274]
+    assert best_fit(lengths, 1024) == 3
+    assert packing.Plan.shortest(dict.fromkeys(lengths, 1), 1024).sequences == 2
+    for way in packing.WAYS:  # every plan takes pairs and triples, of short lengths too
+        for n, exact in ((3, [900, 100, 24]), (4, [850, 90, 60, 24]), (4, [400, 300, 200, 124])):
+            assert packing.Plan(dict.fromkeys(exact, 1), 1024, *way).filled[n - 1] == 1
+
+
 @pytest.mark.parametrize("text", ["", "It's  a\n\n test\t\x85 \xa0x", "naïve – “x” …", "<|endoftext|>", "a<|endoftext|> b", "中文 and ﷽", "ǅ ʰ é́"])
 def test_encoder_gives_the_tokenizers_ids(text):
     assert [*packing.make_encoder("byte_bpe_50k", None)(text), 2] == token_ids(text)
