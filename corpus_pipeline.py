@@ -19,18 +19,18 @@ from newsfold.llm import exact_dedup, langid, mixing, packing, simhash
 from newsfold.session import ensure_checkpoint_dir
 from newsfold.sources.tables import read_table
 
-#: A text whose shortest code is so many bits longer than its bytes as they are is in none of the learned languages.
-EXCESS_BITS = 64
+#: A text whose shortest code takes so many bits a byte more than its bytes as they are is in none of the learned languages.  Letters that
+#: no training text has cost about 20 bits a byte, unknown words of known letters 9 to 14.  A rate, so that length does not decide.
+EXCESS_RATE = 7.0
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects texts without a letter and texts that every learned language codes EXCESS_BITS longer than raw bytes.
+    """Rejects texts without a letter and texts that every learned language codes EXCESS_RATE bits a byte longer than raw bytes.
     Where nothing is there to learn from, only texts without a letter go."""
     train = F.coalesce(~langid.held_out(), F.lit(False))
     tagged = langid.identify(docs.withColumnsRenamed({c: f"d_{c}" for c in docs.columns}).withColumns({c: F.col(f"d_{c}") for c in ("doc_id", "text", "lang")}), train, [f"d_{c}" for c in docs.columns])
     letters = F.coalesce(F.col("d_text").rlike(r"\p{L}"), F.lit(False))
-    excess = (F.col("bits_per_byte") - 8) * F.octet_length("d_text")
-    return tagged.filter(letters & (excess < EXCESS_BITS)).select(*[F.col(f"d_{c}").alias(c) for c in docs.columns])
+    return tagged.filter(letters & (F.col("bits_per_byte") < 8 + EXCESS_RATE)).select(*[F.col(f"d_{c}").alias(c) for c in docs.columns])
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

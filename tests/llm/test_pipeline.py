@@ -3,7 +3,7 @@
 from collections import Counter
 
 from cases import DOCS, awkward, frame, prose, words
-from conftest import SF_SMALL
+from conftest import SF_CHECK, SF_SMALL
 from test_models import many_languages
 
 import __spark_entry__ as entry
@@ -64,6 +64,15 @@ def test_rare_languages_stay(spark):
     assert Counter(held(kept)) == Counter((d, t) for d, t, *_ in rows)
 
 
+def test_length_does_not_decide_on_the_language(spark):
+    docs = spark.read.parquet(f"{SF_CHECK}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    times = (1, 2, 5, 20, 100)
+    passages = ["中", "ж", "Привет мир, как дела сегодня? ", "dziękuję bardzo "]
+    rows = [(-1000 * i - n, p * n, None, "a", 1) for i, p in enumerate(passages, 1) for n in times]
+    kept = {d for d, _ in held(corpus_pipeline.language_id(spark, docs.union(spark.createDataFrame(rows, DOCS)), None)) if d < 0}
+    assert kept == {-4000 - n for n in times}  # the letters of the last one are mostly known
+
+
 def test_stages_on_an_empty_table(spark):
     docs = spark.createDataFrame([], DOCS)
     for _, stage in corpus_pipeline.STAGES:
