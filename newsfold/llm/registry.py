@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import exact_dedup, langid, lm_score, mixing, packing, simhash, substring_dedup, suffix_dedup, topk, toxicity
+from . import exact_dedup, langid, line_dedup, lm_score, mixing, packing, simhash, substring_dedup, suffix_dedup, topk, toxicity
 
 
 def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,6 +49,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     own = (
         op1_lm_score,
@@ -61,6 +65,7 @@ def queries() -> dict:
         op8_substring_dedup,
         op9_exact_top_k,
         op10_exact_dedup,
+        op11_line_dedup,
     )
     return {f.__name__: f for f in own}
 
@@ -73,5 +78,6 @@ def oracle_sql() -> dict[str, str]:
         "op8_substring_dedup": substring_dedup,
         "op9_exact_top_k": topk,
         "op10_exact_dedup": exact_dedup,
+        "op11_line_dedup": line_dedup,
     }
     return {name: module.ORACLE_SQL for name, module in own.items()}
