@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import exact_dedup, langid, line_dedup, lm_score, mixing, packing, simhash, substring_dedup, suffix_dedup, topk, toxicity
+from . import exact_dedup, langid, line_dedup, lm_score, mixing, packing, simhash, spelling, substring_dedup, suffix_dedup, topk, toxicity
 
 
 def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,6 +53,10 @@ def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     own = (
         op1_lm_score,
@@ -66,6 +70,7 @@ def queries() -> dict:
         op9_exact_top_k,
         op10_exact_dedup,
         op11_line_dedup,
+        op12_spelling_variants,
     )
     return {f.__name__: f for f in own}
 
