@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import exact_dedup, langid, line_dedup, lm_score, mixing, packing, simhash, spelling, substring_dedup, suffix_dedup, topk, toxicity
+from . import exact_dedup, langid, line_dedup, lm_score, mixing, packing, ranked_search, simhash, spelling, substring_dedup, suffix_dedup, topk, toxicity
 
 
 def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,6 +57,10 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(read_table(spark, sf_dir, "documents"))
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict:
     own = (
         op1_lm_score,
@@ -71,6 +75,7 @@ def queries() -> dict:
         op10_exact_dedup,
         op11_line_dedup,
         op12_spelling_variants,
+        op13_ranked_search,
     )
     return {f.__name__: f for f in own}
 
@@ -84,5 +89,6 @@ def oracle_sql() -> dict[str, str]:
         "op9_exact_top_k": topk,
         "op10_exact_dedup": exact_dedup,
         "op11_line_dedup": line_dedup,
+        "op13_ranked_search": ranked_search,
     }
     return {name: module.ORACLE_SQL for name, module in own.items()}
