@@ -3,7 +3,8 @@
 Texts are split at line feeds.  A line's key is the line without ASCII white space at both
 ends and with A-Z lower-cased; keys of enough code points are hashed (MD5), each document names a
 hash once, and the documents of each hash are counted after a map-side sum.  Hashes found in
-enough documents lose all their lines except in the document with the largest id.  The positions that go are
+enough documents lose all their lines except in the document with the largest id.  The hashes of each document's lines are
+written once (about 45 bytes a line) and read by the count and by the join.  The positions that go are
 joined back to the documents, and the other lines are put together again in their order.
 
 Everything is DataFrame functions.  Lines travel as hashes, texts once.  A hash that holds a large share of all
@@ -31,21 +32,12 @@ WHITE = "\t\n\x0b\f\r "
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def line_key(line: Column) -> Column:
-    """The line without white space at its ends, A-Z lower-cased; lower() does that where all is ASCII."""
-    bare = F.btrim(line, F.lit(WHITE))
-    return F.when(F.octet_length(bare) == F.char_length(bare), F.lower(bare)).otherwise(F.translate(bare, UPPER, LOWER))
-
-
-def line_hashes(text: Column, min_length: int) -> Column:
-    """Per line the MD5 of its key, null where the key is too short."""
-
-    def hashed(line: Column) -> Column:
-        key = line_key(line)
-        return F.when(F.char_length(key) >= min_length, F.md5(key.cast("binary")))
-
-    # a key has no more code points than its line has bytes
-    return F.transform(F.split(text, "\n", -1), lambda line: F.when(F.octet_length(line) >= min_length, hashed(line)))
+def line_hash(line: Column, min_length: int) -> Column:
+    """MD5 of the line's key (no white space at its ends, A-Z lower-cased), null where the key is too short."""
+    low = lambda bare: F.when(F.octet_length(bare) == F.char_length(bare), F.lower(bare)).otherwise(F.translate(bare, UPPER, LOWER))
+    hashed = lambda key: F.when(F.char_length(key) >= min_length, F.md5(key.cast("binary")))
+    # each step is bound once; a key has no more code points than its line has bytes
+    return F.when(F.octet_length(line) >= min_length, let(F.btrim(line, F.lit(WHITE)), lambda bare: let(low(bare), hashed)))
 
 
 def drop_lines(
@@ -59,7 +51,8 @@ def drop_lines(
     """doc_id, n_lines, n_dropped, kept_text for every row of docs."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).cast("string").alias("text"))
     rows = rows.withColumn("copy", F.unhex(F.md5(F.col("text").cast("binary"))))
-    lines = rows.select("doc_id", "copy", line_hashes(F.col("text"), min_length).alias("hashes"))
+    hashes = F.transform(F.split("text", "\n", -1), lambda line: line_hash(line, min_length))
+    lines = cut(rows.select("doc_id", "copy", hashes.alias("hashes")))
 
     named = lines.select("doc_id", F.explode(F.array_distinct("hashes")).alias("hash")).filter("hash IS NOT NULL")
     counted = named.groupBy(F.unhex("hash").alias("hash")).agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("keeper"))
