@@ -27,7 +27,7 @@ from ..operators.components import component_labels
 from ..operators.dedup import dedupe_pages, url_dedup
 from ..operators.features import page_features
 from ..operators.leader import leader_labels
-from ..operators.pages import page_base, pages_as_resolved
+from ..operators.pages import CORPUS_TASK, page_base, pages_as_resolved
 from ..operators.replies import parse_replies, render_replies
 from ..operators.resolve import resolve_hits
 from ..session import ensure_checkpoint_dir
@@ -41,6 +41,7 @@ CORPUS_CAP = 20
 EXCLUDE_HOSTS = ("example.org", "blog.ththan.example.net")
 DOC_HOST_SUFFIX = ".docs.example.com/doc/"
 DOC_TITLE_CHARS = 80
+DOC_SEQ = 1 << 31
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -832,11 +833,47 @@ def c1_refined(spark, sf):
     return labels.select("seq", "label")
 
 
+# ---- C1 in arrival order, over pages and documents as one corpus
+
+
+def _united_ctes():
+    columns = "run_id, task_name, {seq} AS seq, title, snippet, content, domain, domain_score, content_chars"
+    docs = f"SELECT *, length(content) AS content_chars FROM (SELECT {O.lit(K.DEFAULT_RUN_ID)} AS run_id, {O.lit(CORPUS_TASK)} AS task_name, doc_id, "
+    docs += f"{O.excerpt('text', DOC_TITLE_CHARS)} AS title, '' AS snippet, {O.ws('text')} AS content, '' AS domain, 0 AS domain_score FROM documents)"
+    united = f"SELECT {columns.format(seq='first_seen')} FROM d2 UNION ALL SELECT {columns.format(seq=f'{DOC_SEQ} + doc_id')} FROM ({docs})"
+    return O.pages_resolved_ctes() + O.dedup_ctes() + [f"dz AS ({united})"] + O.feature_ctes("dz")
+
+
+def _united(spark, sf):
+    """URL winners of the pages and, after them, the documents as pages of no host: title and text, no snippet."""
+    pages = _features(spark, sf)
+    text = X.normalize_ws("text")
+    docs = tables.documents(spark, sf).select(
+        F.lit(K.DEFAULT_RUN_ID).alias("run_id"),
+        F.lit(CORPUS_TASK).alias("task_name"),
+        (F.lit(DOC_SEQ) + F.col("doc_id")).alias("seq"),
+        X.excerpt("text", DOC_TITLE_CHARS).alias("title"),
+        F.lit("").alias("snippet"),
+        text.alias("content"),
+        F.lit("").alias("domain"),
+        F.lit(0).alias("domain_score"),
+        F.length(text).alias("content_chars"),
+    )
+    columns = ["run_id", "task_name", "seq", "tokens", "title_tokens", "version", "signature", "official_bonus", "domain_score", "content_chars"]
+    return pages.select(*columns).unionByName(page_features(docs).select(*columns))
+
+
+@register("c1_grown", _sqlr(_united_ctes() + O.arrival_ctes(), "SELECT seq, label FROM labels"))
+def c1_grown(spark, sf):
+    labels, _ = cluster_labels(_united(spark, sf).checkpoint(), "grown")
+    return labels.select("seq", "label")
+
+
 # ================================================================ Q1
 
 
 def _q1_sql():
-    ctes = HITS + O.resolve_ctes(CFG, "hits") + O.dedup_ctes("resolved") + O.feature_ctes() + O.edge_ctes() + O.leader_ctes("labels_0") + O.refine_ctes()
+    ctes = HITS + O.resolve_ctes(CFG, "hits") + O.dedup_ctes("resolved") + O.feature_ctes() + O.arrival_ctes()
     ctes += O.cluster_ctes("final_event_cap")
     ctes = [c.replace("FROM summary)", "FROM (SELECT s.*, q.final_event_cap FROM summary s JOIN (SELECT DISTINCT task_name, final_event_cap FROM queries) q USING (task_name)))") if c.startswith("ordered AS") else c for c in ctes]
     return _sqlr(

@@ -455,6 +455,31 @@ def refine_ctes(rounds: int = REFINE_ROUNDS) -> list[str]:
     return out + [f"labels AS (SELECT * FROM labels_{rounds})"]
 
 
+def arrival_ctes() -> list[str]:
+    """labels(run_id, task_name, seq, label): a keyed walk over the pages in their order.  Its rows are the clusters as they are;
+    each step rewrites the one that the next page joins or founds."""
+    m2, m3, m4 = pair_rules()
+    return [
+        "ap AS (SELECT *, row_number() OVER (ORDER BY run_id, task_name, seq) AS n FROM feat)",
+        "grown(run_id, task_name, label, n, members, tokens, signature, title_tokens, version, score) USING KEY (run_id, task_name, label) AS ("
+        "SELECT run_id, task_name, seq, n, [seq], tokens, signature, title_tokens, version, "
+        "{'o': official_bonus, 'd': domain_score, 'c': content_chars} FROM ap WHERE n = 1 "
+        "UNION SELECT run_id, task_name, coalesce(label, seq), n, coalesce(list_append(members, seq), [seq]), "
+        "coalesce(list_distinct(list_concat(b_tokens, tokens)), tokens), "
+        "CASE WHEN coalesce(b_signature, '') <> '' THEN b_signature ELSE signature END, "
+        "CASE WHEN b_score >= score THEN b_title_tokens ELSE title_tokens END, "
+        "CASE WHEN b_score >= score THEN b_version ELSE version END, "
+        "CASE WHEN b_score >= score THEN b_score ELSE score END FROM ("
+        "SELECT a.*, {'o': a.official_bonus, 'd': a.domain_score, 'c': a.content_chars} AS score, b.label, b.members, b.tokens AS b_tokens, "
+        "b.signature AS b_signature, b.title_tokens AS b_title_tokens, b.version AS b_version, b.score AS b_score, "
+        "row_number() OVER (ORDER BY b.label NULLS LAST) AS choice "
+        "FROM (SELECT ap.* FROM grown w JOIN ap ON ap.n = w.n + 1) a "
+        "LEFT JOIN recurring.grown b ON a.run_id = b.run_id AND a.task_name = b.task_name "
+        f"AND ((a.signature <> '' AND a.signature = b.signature) OR ({m2}) OR ({m3}) OR ({m4}))) WHERE choice = 1)",
+        "labels AS (SELECT run_id, task_name, unnest(members) AS seq, label FROM grown)",
+    ]
+
+
 def cluster_ctes(cap_expr: str) -> list[str]:
     """members, summary (C8/D4/D7/D8), ranked (T2/T3/W2) and srcs.
     ``cap_expr`` gives final_event_cap for a row of summary (column or literal)."""
