@@ -118,13 +118,13 @@ def keyword_hits(base: DataFrame, cfg: TaskConfig, blocked_host_tokens=None) ->
     return hits.withColumn("valid", passes).drop("exclude_hosts")
 
 
-def _since(ts_col: str, run_ts: str, months: int = 1) -> Column:
+def publishedpublished_since(ts_col: str, run_ts: str, months: int = 1) -> Column:
     return F.col(ts_col) >= F.expr(f"TIMESTAMP_NTZ '{run_ts[:19]}' - INTERVAL {int(months)} MONTH")
 
 
 def recent(df: DataFrame, ts_col: str, run_ts: str, months: int = 1) -> DataFrame:
     """P5: rows of the last months before the run."""
-    return df.filter(_since(ts_col, run_ts, months))
+    return df.filter(published_since(ts_col, run_ts, months))
 
 
 def provider_hits(hits: DataFrame, failures: DataFrame, cfg: TaskConfig) -> DataFrame:
@@ -139,7 +139,7 @@ def provider_hits(hits: DataFrame, failures: DataFrame, cfg: TaskConfig) -> Data
     failed = F.broadcast(failures.select("task_name", "query_idx").distinct().withColumn("failed", F.lit(True)))
     hits = hits.join(failed, ["task_name", "query_idx"], "left").withColumn("failed", F.coalesce("failed", F.lit(False)))
     if "published" in hits.columns:
-        hits = hits.filter(~F.col("failed") | _since("published", cfg.run_ts)).drop("published")
+        hits = hits.filter(~F.col("failed") | published_since("published", cfg.run_ts)).drop("published")
     within = F.when(~F.col("failed"), F.struct("normalized_url", "valid"))
     place = F.row_number().over(Window.partitionBy("task_name", "query_idx", within).orderBy("src_pos"))
     placed = hits.withColumn("_place", place).filter(F.col("_place") <= F.lit(cfg.max_top_k))

@@ -30,6 +30,7 @@ from ..operators.leader import leader_labels
 from ..operators.pages import CORPUS_TASK, page_base, pages_as_resolved
 from ..operators.replies import parse_replies, render_replies
 from ..operators.resolve import resolve_hits
+from ..operators.retrieval import ranked_hits
 from ..session import ensure_checkpoint_dir
 from ..sources import tables
 from ..sources.tasks import PROSE_CONFIG
@@ -342,6 +343,20 @@ def s3_hits(spark, sf):
     )
 
 
+@register(
+    "s3_ranked_hits",
+    _sql(
+        HITS + O.ranked_ctes(CFG),
+        "SELECT task_name, query_idx::BIGINT AS query_idx, CASE WHEN primary_fails THEN 'fallback' ELSE 'primary' END AS provider, "
+        "rank, score, title, url, normalized_url, domain, snippet, src_pos FROM rhits",
+    ),
+)
+def s3_ranked_hits(spark, sf):
+    """S3 in order of relevance."""
+    found = ranked_hits(_pages(spark, sf), HT.query_dimension(spark, CFG), CFG)
+    return found.select("task_name", "query_idx", "provider", "rank", "score", "title", "url", "normalized_url", "domain", "snippet", "src_pos")
+
+
 @register(
     "s1_task_bounds",
     _sql(

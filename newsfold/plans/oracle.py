@@ -561,6 +561,30 @@ def hits_ctes(cfg: TaskConfig, src: str = "page_base", id_col: str = "page_id",
     ]
 
 
+def ranked_ctes(cfg: TaskConfig) -> list[str]:
+    """rhits: the hits of ``hits_ctes`` ranked by BM25 over the words of the query's phrases."""
+    return [
+        "rt AS (SELECT src_pos, regexp_extract_all(search, '[\\p{L}\\p{N}]+') AS terms FROM searchable)",
+        "rs AS (SELECT count(*) AS pages, sum(len(terms)) AS terms FROM rt WHERE len(terms) > 0)",
+        "rq AS (SELECT DISTINCT task_name, query_idx, unnest(regexp_extract_all(phrase, '[\\p{L}\\p{N}]+')) AS term FROM phrases)",
+        "ro AS (SELECT src_pos, n, term, count(*) AS tf FROM (SELECT src_pos, len(terms) AS n, unnest(terms) AS term FROM rt) "
+        "WHERE term IN (SELECT term FROM rq) GROUP BY ALL)",
+        "rw AS (SELECT term, floor(1000000.0::DOUBLE * ln(1.0::DOUBLE + (any_value(pages) - count(*) + 0.5::DOUBLE) / (count(*) + 0.5::DOUBLE)))::BIGINT AS idf "
+        "FROM ro, rs GROUP BY term)",
+        "rc AS (SELECT rq.task_name, rq.query_idx, ro.src_pos, sum(rw.idf * floor(1000000.0::DOUBLE * (ro.tf * 2.2::DOUBLE) / "
+        "(ro.tf + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * (ro.n / (rs.terms::DOUBLE / rs.pages)))))::BIGINT)::BIGINT AS score "
+        "FROM rq JOIN ro USING (term) JOIN rw USING (term), rs GROUP BY ALL)",
+        "ra AS (SELECT a.* EXCLUDE (place), coalesce(rc.score, 0) AS score, "
+        "row_number() OVER (PARTITION BY a.task_name, a.query_idx ORDER BY coalesce(rc.score, 0) DESC, a.src_pos) AS place "
+        "FROM answered a LEFT JOIN rc USING (task_name, query_idx, src_pos))",
+        f"rv AS (SELECT * FROM ra h WHERE h.title <> '' AND h.normalized_url <> '' AND {host_allowed('h.domain', cfg.blocked_host_tokens)} "
+        "AND (NOT h.primary_fails OR h.place <= h.top_k))",
+        "rf AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY task_name, query_idx, normalized_url ORDER BY score DESC, src_pos) AS rn FROM rv) WHERE rn = 1)",
+        "rk AS (SELECT *, row_number() OVER (PARTITION BY task_name, query_idx ORDER BY score DESC, src_pos) AS rank FROM rf)",
+        "rhits AS (SELECT r.*, q.query_text FROM rk r JOIN queries q USING (task_name, query_idx) WHERE r.rank <= r.top_k)",
+    ]
+
+
 def snapshot_ctes(hits: str = "hits") -> list[str]:
     """snap(normalized_url, page_id, page_title, readable_text) for hit URLs."""
     return [
