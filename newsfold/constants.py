@@ -193,13 +193,18 @@ DROPPED_ELEMENTS = ("script", "style", "noscript", "svg", "header", "footer", "n
 # a character reference at the start of a piece cut before its '&': group 1 is
 # a decimal, hexadecimal or named reference
 ENTITY_RE = r"^&(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
-# block-level tags that delimit content blocks for main-content scoring
-BLOCK_SPLIT_RE = (
-    r"(?i)</?(?:p|div|article|section|main|aside|h[1-6]|li|ul|ol|table|tr|td|th"
-    r"|br|blockquote|pre|form|figure|figcaption|dd|dt|dl)(?:[\s/][^>]*)?>"
+# elements without content: they never stay open
+VOID_ELEMENTS = (
+    "area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta",
+    "param", "source", "track", "wbr",
 )
-MAIN_MIN_WORDS = 10             # a content block needs at least this many words
-MAIN_MAX_LINK_PCT = 33          # ... and at most this share of link text
+# elements whose text is one block for main-content scoring
+BLOCK_ELEMENTS = (
+    "p", "div", "article", "section", "main", "aside", "h1", "h2", "h3", "h4",
+    "h5", "h6", "li", "ul", "ol", "table", "tr", "td", "th", "blockquote",
+    "pre", "form", "figure", "figcaption", "dd", "dt", "dl",
+)
+MAIN_MIN_WORDS = 10             # the main content has at least this many words outside links
 
 # fixed instant of a run (reports never use the wall clock in tested output)
 DEFAULT_RUN_TS = "2024-02-15T00:00:00+00:00"

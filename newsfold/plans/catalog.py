@@ -235,6 +235,41 @@ def f2_main_content(spark, sf):
     )
 
 
+#: By page_id modulo 4: text to look for, and what takes its place: dropped elements inside themselves, closed by an element
+#: around them, never closed, and closed after stray end tags.
+BROKEN_HTML = (
+    ("<article>", "<header><div><header>in</header>mid</div>tail</header><article>"),
+    ("<article>", "<div><nav>open<p>menu</div><article>"),
+    ("</nav>", ""),
+    ("</p>", "</p></nav></div><section><footer>open <b>still</section>"),
+)
+
+
+def _broken_sql():
+    cases = " ".join(f"WHEN {i} THEN replace(html, {O.lit(old)}, {O.lit(new)})" for i, (old, new) in enumerate(BROKEN_HTML))
+    broken = f"broken AS (SELECT page_id, url, CASE page_id % 4 {cases} END AS html FROM pages)"
+    return _sql(
+        [broken] + O.page_base_ctes(True, "broken"),
+        "SELECT page_id, length(body_text) AS n_chars, md5(body_text) AS text_md5, length(main_text) AS n_main_chars, md5(main_text) AS main_md5 FROM page_base",
+    )
+
+
+@register("f1_broken_html", _broken_sql())
+def f1_broken_html(spark, sf):
+    """F1 and F2 on the pages with their HTML broken."""
+    html = F.col("html")
+    for i, (old, new) in enumerate(BROKEN_HTML):
+        html = F.when(F.col("page_id") % 4 == i, F.replace(F.col("html"), F.lit(old), F.lit(new))).otherwise(html)
+    b = page_base(_pages(spark, sf).withColumn("html", html))
+    return b.select(
+        "page_id",
+        F.length("body_text").alias("n_chars"),
+        F.md5("body_text").alias("text_md5"),
+        F.length("main_text").alias("n_main_chars"),
+        F.md5("main_text").alias("main_md5"),
+    )
+
+
 @register("r1_domain_score", _sql(PB_NOMAIN, f"SELECT page_id, domain, {O.domain_score('domain')}::BIGINT AS domain_score FROM page_base"))
 def r1_domain_score(spark, sf):
     return _base(spark, sf, main=False).select("page_id", "domain", R.domain_score("domain").alias("domain_score"))

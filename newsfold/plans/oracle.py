@@ -144,11 +144,44 @@ def open_tag(name: str) -> str:
     return rf"<{name}(?:[\s/][^>]*)?>"
 
 
-def strip_dropped(h: str) -> str:
-    out = f"regexp_replace(coalesce({h}, ''), {lit('(?s)<!--.*?-->')}, ' ', 'g')"
-    for tag in K.DROPPED_ELEMENTS:
-        out = f"regexp_replace({out}, {lit(f'(?is){open_tag(tag)}.*?</{tag}\\s*>')}, ' ', 'g')"
-    return out
+RAW_RE = r"(?is)<!--.*?(?:-->|\z)" + "".join(rf"|{open_tag(t)}.*?(?:</{t}\s*>|\z)" for t in ("script", "style"))
+
+
+def units(h: str) -> str:
+    """A page as a list: the text before the first tag, then each tag with the text after it."""
+    tags, texts = f"regexp_extract_all({h}, {lit(TAG_RE)})", f"regexp_split_to_array({h}, {lit(TAG_RE)})"
+    return f"list_transform({texts}, lambda t, k: CASE WHEN k = 1 THEN t ELSE {tags}[k - 1] || t END)"
+
+
+def tag_name(u: str) -> str:
+    return f"lower(regexp_extract({u}, {lit('^</?([A-Za-z][^ ' + chr(92) + 't' + chr(92) + 'n' + chr(92) + 'r' + chr(92) + 'f/>]*)')}, 1))"
+
+
+def tag_op(u: str, name: str) -> str:
+    """2 closes, 1 opens, 0 neither."""
+    return (
+        f"(CASE WHEN {name} = '' THEN 0 WHEN starts_with({u}, '</') THEN 2 WHEN list_contains({str_list(K.VOID_ELEMENTS)}, {name}) "
+        f"OR regexp_matches({u}, '^<[^>]*/>') THEN 0 ELSE 1 END)"
+    )
+
+
+def strip_ctes(src: str, out: str, keep: str, html: str = "html") -> list[str]:
+    """``out``: the columns ``keep`` of ``src`` and clean, its HTML without comments and dropped elements: a walk over the tags with a
+    stack of the open elements (names joined, newest first)."""
+    at = "strpos(a.path, '/' || u.name || '/')"
+    popped = f"substring(a.path, {at} + length(u.name) + 1)"
+    gone = f"(u.op = 2 AND a.off >= 0 AND {at} > 0 AND length({popped}) <= a.off)"
+    begun = f"(u.op = 1 AND a.off < 0 AND list_contains({str_list(K.DROPPED_ELEMENTS)}, u.name))"
+    return [
+        f"{out}_u AS (SELECT {keep}, {units('raw')} AS us FROM (SELECT {keep}, regexp_replace(coalesce({html}, ''), {lit(RAW_RE)}, ' ', 'g') AS raw FROM {src}))",
+        f"{out}_t AS (SELECT {keep}, us, list_transform(us, lambda u: {{'name': {tag_name('u')}, 'op': {tag_op('u', tag_name('u'))}, 'path': '', 'off': -1, 'text': u}}) AS ts FROM {out}_u)",
+        # text gathers what stays; off is the length of the path below the outermost dropped element
+        f"{out} AS (SELECT {keep}, (list_reduce(ts, lambda a, u: {{'name': '', 'op': 0, "
+        f"'path': CASE WHEN u.op = 1 THEN '/' || u.name || a.path WHEN u.op = 2 AND {at} > 0 THEN {popped} ELSE a.path END, "
+        f"'off': CASE WHEN {begun} THEN length(a.path) WHEN {gone} THEN -1 ELSE a.off END, "
+        f"'text': CASE WHEN {begun} OR (a.off >= 0 AND NOT {gone}) THEN a.text ELSE a.text || u.text END}}, "
+        f"{{'name': '', 'op': 0, 'path': '/', 'off': -1, 'text': ''}})).text AS clean FROM {out}_t)",
+    ]
 
 
 def tags_to_text(x: str) -> str:
@@ -160,17 +193,35 @@ def html_title(h: str) -> str:
     return tags_to_text(f"regexp_extract(coalesce({h}, ''), {lit(pattern)}, 1)")
 
 
-def main_content(clean: str) -> str:
+def main_ctes(src: str, out: str, clean: str = "clean") -> list[str]:
+    """``out``: ``src`` and main_text: the element that its texts give the most words, by a walk over the tags.  The stack holds
+    (name, first unit, score), newest first; closed elements gather in done."""
     body = f"regexp_replace({clean}, {lit('(?is)^.*?' + open_tag('body'))}, '')"
-    blocks = f"regexp_split_to_array({body}, {lit(K.BLOCK_SPLIT_RE)})"
-    text = tags_to_text("b")
-    nolink = tags_to_text(f"regexp_replace(b, {lit('(?is)' + open_tag('a') + '.*?</a\\s*>')}, ' ', 'g')")
-    n_words = f"(CASE WHEN {text} = '' THEN 0 ELSE len(string_split({text}, ' ')) END)"
-    keep = (
-        f"{n_words} >= {K.MAIN_MIN_WORDS} AND "
-        f"100 * (length({text}) - length({nolink})) <= {K.MAIN_MAX_LINK_PCT} * length({text})"
+    words = f"len(regexp_extract_all(regexp_replace(u, {lit('^(?:' + TAG_RE + ')')}, ''), {lit('[^ ' + chr(92) + 't' + chr(92) + 'n' + chr(92) + 'x0B' + chr(92) + 'f' + chr(92) + 'r]+')}))::INT"
+    at = "coalesce(list_position(list_transform(a.stack, lambda e: e.name), u.name), 0)"
+    pop = f"(u.op = 2 AND {at} > 0)"
+    push = f"(u.op = 1 AND list_contains({str_list(K.BLOCK_ELEMENTS)}, u.name))"
+    link = "(CASE WHEN u.name = 'a' THEN u.op = 1 ELSE a.linked END)"
+    moved = (
+        f"(CASE WHEN {push} THEN list_prepend({{'name': u.name, 'first': a.i, 'last': 0, 'score': 0}}, a.stack) "
+        f"WHEN {pop} THEN a.stack[{at} + 1:] ELSE a.stack END)"
     )
-    return f"array_to_string(list_transform(list_filter({blocks}, lambda b: {keep}), lambda b: {text}), ' ')"
+    given = f"(CASE WHEN {link} THEN -u.words ELSE u.words END)"
+    scored = f"list_transform({moved}, lambda e, k: {{'name': e.name, 'first': e.first, 'last': e.last, 'score': (e.score + (CASE WHEN k <= 2 THEN 2 WHEN k = 3 THEN 1 ELSE 0 END) * {given})::INT}})"
+    closed = f"(CASE WHEN {pop} THEN list_concat(a.done, list_transform(a.stack[:{at}], lambda e: {{'name': e.name, 'first': e.first, 'last': a.i, 'score': e.score}})) ELSE a.done END)"
+    none = "[]::STRUCT(name VARCHAR, first INT, last INT, score INT)[]"
+    root = "[{'name': '', 'first': 0, 'last': 0, 'score': 0}]::STRUCT(name VARCHAR, first INT, last INT, score INT)[]"
+    blank = f"'i': 0, 'linked': FALSE, 'stack': {none}, 'done': {none}"
+    inside = "array_to_string(mu[best.first + 1:best.last], '')"
+    return [
+        f"{out}_u AS (SELECT *, {units(body)} AS mu FROM {src})",
+        f"{out}_t AS (SELECT *, list_transform(mu, lambda u: {{'name': {tag_name('u')}, 'op': {tag_op('u', tag_name('u'))}, 'words': {words}, {blank}}}) AS mt FROM {out}_u)",
+        f"{out}_f AS (SELECT * EXCLUDE (mt), list_reduce(mt, lambda a, u: {{'name': '', 'op': 0, 'words': 0, 'i': (a.i + 1)::INT, 'linked': {link}, "
+        f"'stack': {scored}, 'done': {closed}}}, {{'name': '', 'op': 0, 'words': 0, 'i': 0, 'linked': FALSE, 'stack': {root}, 'done': {none}}}) AS f FROM {out}_t)",
+        f"{out}_b AS (SELECT * EXCLUDE (f), list_concat(f.done, list_transform(f.stack, lambda e: {{'name': e.name, 'first': e.first, 'last': f.i, 'score': e.score}})) AS es FROM {out}_f)",
+        f"{out}_m AS (SELECT * EXCLUDE (es), es[list_position(list_transform(es, lambda e: e.score), list_max(list_transform(es, lambda e: e.score)))] AS best FROM {out}_b)",
+        f"{out} AS (SELECT * EXCLUDE (mu, best), CASE WHEN best.score >= {2 * K.MAIN_MIN_WORDS} THEN {tags_to_text(inside)} ELSE '' END AS main_text FROM {out}_m)",
+    ]
 
 
 # ---------------------------------------------------------------- urls
@@ -287,21 +338,17 @@ def with_recursive(ctes: list[str], final: str) -> str:
 # ---------------------------------------------------------------- page tables
 
 
-def page_base_ctes(with_main: bool = True) -> list[str]:
+def page_base_ctes(with_main: bool = True, src: str = "pages") -> list[str]:
     """page_base(page_id, url, page_title, body_text[, main_text, readable_text],
     normalized_url, domain)"""
-    pre = (
-        "pb_src AS (SELECT page_id, " + ws("url") + " AS url, " + html_title("html") + " AS page_title, "
-        + strip_dropped("html") + " AS clean FROM pages)"
-    )
-    ctes = [pre] + url_ctes("pb_src", "url", "page_id, url, page_title, clean", "pb_url")
-    main = f", {main_content('clean')} AS main_text" if with_main else ""
-    ctes.append(
-        f"pb_txt AS (SELECT page_id, url, page_title, normalized_url, domain, {tags_to_text('clean')} AS body_text{main} FROM pb_url)"
-    )
-    readable = ", CASE WHEN main_text <> '' THEN main_text ELSE body_text END AS readable_text" if with_main else ""
-    ctes.append(f"page_base AS (SELECT *{readable} FROM pb_txt)")
-    return ctes
+    ctes = [f"pb_in AS (SELECT page_id, " + ws("url") + " AS url, " + html_title("html") + f" AS page_title, html FROM {src})"]
+    ctes += strip_ctes("pb_in", "pb_src", "page_id, url, page_title")
+    ctes += url_ctes("pb_src", "url", "page_id, url, page_title, clean", "pb_url")
+    ctes.append(f"pb_body AS (SELECT page_id, url, page_title, normalized_url, domain, clean, {tags_to_text('clean')} AS body_text FROM pb_url)")
+    if not with_main:
+        return ctes + ["page_base AS (SELECT * EXCLUDE (clean) FROM pb_body)"]
+    readable = "CASE WHEN main_text <> '' THEN main_text ELSE body_text END AS readable_text"
+    return ctes + main_ctes("pb_body", "pb_txt") + [f"page_base AS (SELECT * EXCLUDE (clean), {readable} FROM pb_txt)"]
 
 
 def resolved_expr(found: str, page_title: str, readable: str, hit_title: str, snippet: str, max_chars: str, status: str = "fallback:HTTPError") -> dict:
