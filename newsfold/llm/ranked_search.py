@@ -32,6 +32,8 @@ TOP = 10
 BUCKET = 1024
 #: Longest vectors that give the starting scores.
 SEED_ROWS = 2048
+#: Vectors a task searches, so that tasks grow in number with the documents.
+ROWS_PER_TASK = 1 << 14
 #: Bytes of item texts that one pass over the documents answers.
 BATCH_BYTES = 4 << 20
 #: The coordinates summed through the lists hold at least so much of an item's squared length.
@@ -239,7 +241,8 @@ def _batch(docs: DataFrame, items: DataFrame, k: int, bucket: int, seed_rows: in
         floors[item] = kth
 
     # equal lengths are told apart by the row, so that copies spread over partitions
-    ranged = numbered.repartitionByRange(shuffle_partitions(docs), F.desc("norm"), "row").sortWithinPartitions(F.desc("norm"), "row")
+    tasks = max(shuffle_partitions(docs), math.ceil(whole / ROWS_PER_TASK))
+    ranged = numbered.repartitionByRange(tasks, F.desc("norm"), "row").sortWithinPartitions(F.desc("norm"), "row")
     found = ranged.select("doc_id", "norm", "terms", "impacts").mapInArrow(_searched(asked, len(vocabulary), k, floors, bucket), FOUND)
     names = docs.sparkSession.createDataFrame(list(enumerate(ids)), "item long, item_id long")  # the items of the batch
     best = Window.partitionBy("item").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
