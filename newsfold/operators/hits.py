@@ -118,7 +118,7 @@ def keyword_hits(base: DataFrame, cfg: TaskConfig, blocked_host_tokens=None) ->
     return hits.withColumn("valid", passes).drop("exclude_hosts")
 
 
-def publishedpublished_since(ts_col: str, run_ts: str, months: int = 1) -> Column:
+def published_since(ts_col: str, run_ts: str, months: int = 1) -> Column:
     return F.col(ts_col) >= F.expr(f"TIMESTAMP_NTZ '{run_ts[:19]}' - INTERVAL {int(months)} MONTH")
 
 
