@@ -8,6 +8,8 @@ Plan shape:
   satisfies (``filter`` + ``explode`` in the scan stage; no shuffle, no
   pages-by-queries product).  The literals hold ``MAX_LITERAL_PHRASES`` phrases
   each; their results are concatenated, so any number of phrases takes one scan.
+* With more than ``DICTIONARY_FROM`` phrases the query dimension becomes a
+  phrase dictionary instead (``phrases``), so that the cost follows the texts.
 * P1/P3/P4 are conditions on the same array.
 * D1 (first sighting per query and canonical URL) is an aggregation with a
   map-side partial ``min(struct(src_pos, ...))``, so a URL repeated by many
@@ -24,12 +26,16 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..functions import urls as U
+from ..session import ensure_checkpoint_dir
 from ..sources.tasks import TaskConfig, queries_df, tasks_df
 from .pages import search_snippet
+from .phrases import phrase_matches
 
 SEQ_STRIDE = 1 << 32
 # phrases of one literal array
 MAX_LITERAL_PHRASES = 20_000
+# phrases from which a dictionary finds the matches
+DICTIONARY_FROM = 1_000
 QUERY_STRUCT = "struct<task_name:string,query_idx:int,alternatives:array<array<array<string>>>,exclude_hosts:array<string>,top_k:int>"
 
 
@@ -87,6 +93,40 @@ def matching_queries(searchable: Column, queries: Column) -> Column:
     return F.filter(queries, lambda q: query_matches(searchable, q["alternatives"]))
 
 
+def formula_rows(spark, cfg: TaskConfig) -> DataFrame:
+    """task_name, query_idx, alt, clause, phrase of the configuration."""
+    rows = [
+        (t.name, i, a, c, phrase.lower())
+        for t in cfg.tasks
+        for i, q in enumerate(t.queries)
+        for a, alternative in enumerate(q.alternatives)
+        for c, clause in enumerate(alternative)
+        for phrase in clause
+    ]
+    return spark.createDataFrame(rows, "task_name string, query_idx int, alt int, clause int, phrase string")
+
+
+def _dictionary_hits(searchable: DataFrame, cfg: TaskConfig, blocked_host_tokens) -> DataFrame:
+    """The rows that the literal arrays of ``keyword_hits`` would explode to."""
+    spark = searchable.sparkSession
+    ensure_checkpoint_dir(spark)
+    texts = searchable.select(F.col("page_id").alias("id"), F.col("_search").alias("text"))
+    pairs = phrase_matches(texts, formula_rows(spark, cfg), ["task_name", "query_idx"]).withColumnRenamed("id", "page_id")
+    queries = query_dimension(spark, cfg).select("task_name", "query_idx", "exclude_hosts", "top_k")
+    hits = searchable.drop("_search").join(pairs, "page_id").join(F.broadcast(queries), ["task_name", "query_idx"])
+    if blocked_host_tokens is not None:
+        hits = hits.filter(~U.excluded_by_site(F.col("domain"), F.col("exclude_hosts")))
+    return hits
+
+
+def _placed(hits: DataFrame, blocked_host_tokens) -> DataFrame:
+    hits = hits.withColumn("src_pos", F.col("page_id"))
+    if blocked_host_tokens is None:
+        return hits
+    passes = (F.col("title") != "") & (F.col("normalized_url") != "") & U.host_allowed(F.col("domain"), blocked_host_tokens)
+    return hits.withColumn("valid", passes).drop("exclude_hosts")
+
+
 def keyword_hits(base: DataFrame, cfg: TaskConfig, blocked_host_tokens=None) -> DataFrame:
     """P6 over page_base rows: one row per (task, query, matching page) with
     the page's search-result fields and the query's exclusions and top_k.
@@ -106,16 +146,14 @@ def keyword_hits(base: DataFrame, cfg: TaskConfig, blocked_host_tokens=None) ->
         F.lower(F.concat_ws(" ", "page_title", "body_text")).alias("_search"),
         *[c for c in ("published",) if c in base.columns],
     )
+    if sum(len(c) for t in cfg.tasks for q in t.queries for alt in q.alternatives for c in alt) > DICTIONARY_FROM:
+        return _placed(_dictionary_hits(searchable, cfg, blocked_host_tokens), blocked_host_tokens)
     chunks = query_chunks(cfg) or [F.array().cast(f"array<{QUERY_STRUCT}>")]
     found = F.concat(*[matching_queries(F.col("_search"), chunk) for chunk in chunks])
     if blocked_host_tokens is not None:
         found = F.filter(found, lambda q: ~U.excluded_by_site(F.col("domain"), q["exclude_hosts"]))
     hits = searchable.select("*", F.explode(found).alias("_q"))
-    hits = hits.select("*", "_q.*").drop("_q", "_search", "alternatives").withColumn("src_pos", F.col("page_id"))
-    if blocked_host_tokens is None:
-        return hits
-    passes = (F.col("title") != "") & (F.col("normalized_url") != "") & U.host_allowed(F.col("domain"), blocked_host_tokens)
-    return hits.withColumn("valid", passes).drop("exclude_hosts")
+    return _placed(hits.select("*", "_q.*").drop("_q", "_search", "alternatives"), blocked_host_tokens)
 
 
 def published_since(ts_col: str, run_ts: str, months: int = 1) -> Column:

@@ -29,6 +29,7 @@ from ..operators.features import page_features
 from ..operators.leader import leader_labels
 from ..operators.pages import CORPUS_TASK, page_base, pages_as_resolved
 from ..operators.replies import parse_replies, render_replies
+from ..operators.phrases import phrase_matches
 from ..operators.resolve import resolve_hits
 from ..operators.retrieval import ranked_hits
 from ..session import ensure_checkpoint_dir
@@ -350,6 +351,40 @@ def p6_keyword_match(spark, sf):
     return m.select("q.task_name", "q.query_idx", "doc_id")
 
 
+#: The dictionary of p6_phrase_dictionary: per benchmark item, its words 1-2 and its words 4-5, or its words 6-8.
+ITEM_PHRASES = ((0, 0, 1, 2), (0, 1, 4, 2), (1, 0, 6, 3))
+
+
+def _item_formulas(spark, sf):
+    items = tables.read_table(spark, sf, "benchmark")
+    words = F.split(F.lower(X.normalize_ws("text")), " ")
+    phrase = lambda first, n: F.array_join(F.slice(words, first, n), " ")
+    rows = F.array(*[F.struct(F.lit(a).alias("alt"), F.lit(c).alias("clause"), phrase(first, n).alias("phrase")) for a, c, first, n in ITEM_PHRASES])
+    return items.select("item_id", F.inline(rows))
+
+
+_ITEM_SQL = " UNION ALL ".join(
+    f"SELECT item_id, {a} AS alt, {c} AS clause, array_to_string(w[{first}:{first + n - 1}], ' ') AS phrase FROM iw" for a, c, first, n in ITEM_PHRASES
+)
+
+
+@register(
+    "p6_phrase_dictionary",
+    _sql(
+        [f"iw AS (SELECT item_id, string_split(lower({O.ws('text')}), ' ') AS w FROM benchmark)",
+         f"ip AS ({_ITEM_SQL})",
+         f"ds AS (SELECT doc_id, lower({DOC_WS}) AS search FROM documents)",
+         "ic AS (SELECT d.doc_id, ip.item_id, ip.alt, count(DISTINCT ip.clause) AS n FROM ds d JOIN ip ON strpos(d.search, ip.phrase) > 0 GROUP BY ALL)"],
+        "SELECT DISTINCT doc_id, item_id FROM ic WHERE n = CASE alt WHEN 0 THEN 2 ELSE 1 END",
+    ),
+)
+def p6_phrase_dictionary(spark, sf):
+    """P6 with a dictionary of phrases out of a table."""
+    ensure_checkpoint_dir(spark)
+    d = tables.documents(spark, sf).select(F.col("doc_id").alias("id"), F.lower(X.normalize_ws("text")).alias("text"))
+    return phrase_matches(d, _item_formulas(spark, sf), ["item_id"]).select(F.col("id").alias("doc_id"), "item_id")
+
+
 # ================================================================ P5, N2 on events
 
 _P5_SQL = f"SELECT event_id, user_id, event_type FROM events WHERE ts >= TIMESTAMP '{CFG.run_ts[:19]}' - INTERVAL 1 MONTH"
