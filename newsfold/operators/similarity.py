@@ -24,6 +24,11 @@ Scale-out design (no all-pairs step anywhere):
    with ``array_intersect``.  Hot tokens sort last and rarely enter a prefix;
    AQE's skew join splits what remains.  Pages with an empty token set have no
    edges (overlap 0, empty signature).
+4. Token rows carry a bit signature of their set (``SIGNATURE_BITS`` bits, one
+   per token by its hash).  A bit that the smaller set has and the larger one
+   lacks stands for a token they do not share, so a pair with more such bits
+   than tokens may be missing is dropped where it is met, before pairs are
+   made distinct and before any token array travels.
 
 Edge tables are (run_id, task_name, a, b, rule) with a < b in seq order.
 """
@@ -77,10 +82,35 @@ def signature_edges(classes: DataFrame) -> DataFrame:
     )
 
 
+#: Bits of a set's signature, in words of 64.
+SIGNATURE_BITS = 256
+_WORDS = [f"s{k}" for k in range(SIGNATURE_BITS // 64)]
+
+
+def _signature(set_col: str):
+    """The set's signature as a struct of longs."""
+    empty = F.struct(*[F.lit(0).cast("long").alias(w) for w in _WORDS])
+
+    def with_token(acc, token):
+        place = F.pmod(F.xxhash64(token), F.lit(SIGNATURE_BITS)).cast("int")
+        bit = F.expr("1L")
+        return F.struct(
+            *[acc[w].bitwiseOR(F.when(F.floor(place / 64) == k, F.call_function("shiftleft", bit, place % 64)).otherwise(F.lit(0).cast("long"))).alias(w) for k, w in enumerate(_WORDS)]
+        )
+
+    return F.aggregate(set_col, empty, with_token)
+
+
+def _may_overlap(pct: int):
+    """Whether the signatures of a pair, a the smaller set, leave room for the overlap."""
+    lacking = sum((F.bit_count(F.col(f"a_{w}").bitwiseAND(F.bitwise_not(f"b_{w}"))) for w in _WORDS[1:]), F.bit_count(F.col(f"a_{_WORDS[0]}").bitwiseAND(F.bitwise_not(f"b_{_WORDS[0]}"))))
+    return lacking <= F.col("a_n") - F.floor((F.col("a_n") * F.lit(pct) + F.lit(99)) / F.lit(100))
+
+
 def _token_rows(rows: DataFrame, set_col: str, extra: list[str]) -> DataFrame:
-    """One row per class and token: id, n (tokens of the class), tok."""
-    base = rows.select(*GROUP, *extra, F.col("class_seq").alias("id"), F.size(set_col).alias("n"), set_col)
-    return base.select(*GROUP, *extra, "id", "n", F.explode(set_col).alias("tok"))
+    """One row per class and token: id, n (tokens of the class), the words of its signature, tok."""
+    base = rows.select(*GROUP, *extra, F.col("class_seq").alias("id"), F.size(set_col).alias("n"), set_col, _signature(set_col).alias("signature_bits"))
+    return base.select(*GROUP, *extra, "id", "n", *[F.col(f"signature_bits.{w}").alias(w) for w in _WORDS], F.explode(set_col).alias("tok"))
 
 
 def _prefix_rows(toks: DataFrame, freq: DataFrame, pct: int) -> DataFrame:
@@ -98,9 +128,8 @@ def _frequencies(toks: DataFrame) -> DataFrame:
 
 def _meet(prefix: DataFrame, full: DataFrame, extra: list[str]) -> DataFrame:
     """Pairs a (smaller set), b of a prefix and the sets that hold one of its tokens."""
-    a = prefix.select(*GROUP, *extra, "tok", F.col("id").alias("a"), F.col("n").alias("a_n"))
-    b = full.select(*GROUP, *extra, "tok", F.col("id").alias("b"), F.col("n").alias("b_n"))
-    return a.join(b, [*GROUP, *extra, "tok"])
+    side = lambda rows, name: rows.select(*GROUP, *extra, "tok", F.col("id").alias(name), F.col("n").alias(f"{name}_n"), *[F.col(w).alias(f"{name}_{w}") for w in _WORDS])
+    return side(prefix, "a").join(side(full, "b"), [*GROUP, *extra, "tok"])
 
 
 def prefix_candidates(rows: DataFrame, set_col: str, pct: int, extra_keys=()) -> DataFrame:
@@ -110,7 +139,7 @@ def prefix_candidates(rows: DataFrame, set_col: str, pct: int, extra_keys=()) ->
     toks = _token_rows(rows, set_col, extra)
     pairs = _meet(_prefix_rows(toks, _frequencies(toks), pct), toks, extra)
     smaller = (F.col("a_n") < F.col("b_n")) | ((F.col("a_n") == F.col("b_n")) & (F.col("a") < F.col("b")))
-    return pairs.filter(smaller).select(*GROUP, F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return pairs.filter(smaller & _may_overlap(pct)).select(*GROUP, F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def prefix_candidates_between(rows: DataFrame, others: DataFrame, set_col: str, pct: int, extra_keys=()) -> DataFrame:
@@ -118,8 +147,8 @@ def prefix_candidates_between(rows: DataFrame, others: DataFrame, set_col: str,
     extra = list(extra_keys)
     toks, their = _token_rows(rows, set_col, extra), _token_rows(others, set_col, extra)
     freq = _frequencies(toks.unionByName(their))
-    ours = _meet(_prefix_rows(toks, freq, pct), their, extra).filter("a_n <= b_n")
-    theirs = _meet(_prefix_rows(their, freq, pct), toks, extra).filter("a_n < b_n")
+    ours = _meet(_prefix_rows(toks, freq, pct), their, extra).filter((F.col("a_n") <= F.col("b_n")) & _may_overlap(pct))
+    theirs = _meet(_prefix_rows(their, freq, pct), toks, extra).filter((F.col("a_n") < F.col("b_n")) & _may_overlap(pct))
     pairs = ours.select(*GROUP, F.col("b").alias("a"), F.col("a").alias("b")).union(theirs.select(*GROUP, "a", "b"))
     return pairs.distinct()
 
