@@ -16,16 +16,18 @@ from ..functions import html as H
 from ..functions import scoring as R
 from ..functions import text as X
 from ..functions.common import let
+from ..functions.dates import published_at
 from ..functions.urls import with_canonical_url
 
 CORPUS_TASK = "corpus"
 
 
-def page_base(pages: DataFrame, with_main: bool = True) -> DataFrame:
+def page_base(pages: DataFrame, with_main: bool = True, with_dates: bool = False) -> DataFrame:
     """page_id, url, normalized_url, domain, page_title, body_text
-    [, main_text, readable_text]"""
+    [, main_text, readable_text] [, published]"""
     df = pages.select(
         "page_id",
+        *([published_at("html").alias("published")] if with_dates else []),
         X.normalize_ws("url").alias("url"),
         H.html_title("html").alias("page_title"),
         H.strip_dropped_elements("html").alias("_clean"),

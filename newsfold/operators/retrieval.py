@@ -117,14 +117,12 @@ def page_index(base: DataFrame) -> InvertedIndex:
     return InvertedIndex.build(base, search_text())
 
 
-def ranked_hits(pages: DataFrame, qdim: DataFrame, cfg: TaskConfig, failures: DataFrame | None = None, index: InvertedIndex | None = None) -> DataFrame:
+def ranked_hits(pages: DataFrame, qdim: DataFrame, cfg: TaskConfig, failures: DataFrame | None = None, index: InvertedIndex | None = None, page_dates: bool = False) -> DataFrame:
     """The hits of ``hits.search_hits``, ranked by score; adds ``score``.
 
     A fallback provider returns its top_k best of the last month before the filters, the primary one its best valid ones
-    (S4, S5).  Of the pages of one URL the best one counts (D1).  ``pages``: page_id, url, html [, published].  ``index``: an index of the same pages, written earlier."""
-    base = page_base(pages, with_main=False)
-    if "published" in pages.columns:
-        base = base.join(pages.select("page_id", "published"), "page_id")
+    (S4, S5).  Of the pages of one URL the best one counts (D1).  ``pages``: page_id, url, html.  ``index``: an index of the same pages, written earlier."""
+    base = page_base(pages, with_main=False, with_dates=page_dates)
     index = page_index(base) if index is None else index
     failures = HT.configured_failures(qdim) if failures is None else failures
     found = HT.keyword_hits(base, cfg, cfg.blocked_host_tokens)

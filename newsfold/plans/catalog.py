@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import constants as K
+from ..functions import dates as DT
 from ..functions import scoring as R
 from ..functions import text as X
 from ..functions import urls as U
@@ -396,6 +397,46 @@ def p5_recency(spark, sf):
     return HT.recent(e, "ts", CFG.run_ts).select("event_id", "user_id", "event_type")
 
 
+#: How the pages of p5_page_dates name their date, by page_id modulo 6; the others name none.
+DATE_TAGS = (
+    '<meta property="article:published_time" content="{}T10:30:00+08:00">',
+    "<meta content='{} 23:15' name='pubdate'>",
+    '<script type="application/ld+json">{{"@type": "Article", "datePublished": "{}T00:10:00.250-0300"}}</script>',
+    '<p><time class="t" datetime="{}">then</time></p>',
+    '<meta name="date" content="long ago"><time datetime="{}T05:00:00Z">then</time>',
+)
+DATE_SPAN = 90
+
+
+def _page_dates_sql():
+    day = f"strftime(DATE '{CFG.run_ts[:10]}' - (page_id * 7 % {DATE_SPAN})::INT, '%Y-%m-%d')"
+    tag = " ".join(f"WHEN {i} THEN concat({', '.join((O.lit(a), day, O.lit(b)))})" for i, t in enumerate(DATE_TAGS) for a, b in [[x.replace('{{', '{').replace('}}', '}') for x in t.split('{}')]])
+    iso = O.lit(DT.ISO_RE)
+    parsed = lambda v: (
+        f"CASE WHEN regexp_matches({v}, {iso}) THEN try_cast(regexp_extract({v}, {iso}, 1) || ' ' || CASE WHEN regexp_extract({v}, {iso}, 2) = '' THEN '00:00' "
+        f"ELSE regexp_extract({v}, {iso}, 2) END || CASE WHEN regexp_extract({v}, {iso}, 3) IN ('', 'Z', 'z') THEN '+00' "
+        f"ELSE regexp_replace(regexp_extract({v}, {iso}, 3), '([0-9]{{2}}):?([0-9]{{2}})$', '\\1:\\2') END AS TIMESTAMPTZ) END"
+    )
+    values = ", ".join(parsed(f"regexp_extract(html, {O.lit(p)}, 1)") for p in DT.DATE_PATTERNS)
+    return _sql(
+        [f"pd AS (SELECT page_id, concat(CASE page_id % 6 {tag} ELSE '' END, html) AS html FROM pages)",
+         f"pi AS (SELECT page_id, epoch(coalesce({values}))::BIGINT AS published FROM pd)"],
+        f"SELECT page_id, published FROM pi WHERE published >= epoch(TIMESTAMP '{CFG.run_ts[:19].replace('T', ' ')}' - INTERVAL 1 MONTH)",
+    )
+
+
+@register("p5_page_dates", _page_dates_sql())
+def p5_page_dates(spark, sf):
+    """P5 on the dates that pages name."""
+    day = F.date_format(F.date_sub(F.lit(CFG.run_ts[:10]).cast("date"), (F.col("page_id") * 7 % DATE_SPAN).cast("int")), "yyyy-MM-dd")
+    tag = F.lit("")
+    for i, t in enumerate(DATE_TAGS):
+        before, after = (x.replace("{{", "{").replace("}}", "}") for x in t.split("{}"))
+        tag = F.when(F.col("page_id") % 6 == i, F.concat(F.lit(before), day, F.lit(after))).otherwise(tag)
+    dated = _pages(spark, sf).select("page_id", DT.published_at(F.concat(tag, F.col("html"))).alias("published"))
+    return HT.recent(dated, "published", CFG.run_ts).select("page_id", F.unix_timestamp(F.col("published").cast("timestamp")).alias("published"))
+
+
 @register("n2_slug", "SELECT event_id, strftime(ts, '%Y_%m_%d_%H%M%S') AS slug FROM events")
 def n2_slug(spark, sf):
     return tables.events(spark, sf).select("event_id", RP.slug(F.col("ts")).alias("slug"))
