@@ -183,8 +183,10 @@ def chunks(texts: list[bytes], size: int = CHUNK_BYTES) -> Iterator[tuple[int, i
         yield first, len(texts)
 
 
-def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(texts: list[bytes], seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """XXH3 of all words of all texts, and the number of words of each text."""
+    from itertools import repeat
+
     from xxhash import xxh3_64_intdigest
 
     parts, counts = [np.zeros(0, np.uint64)], np.zeros(len(texts), np.int64)
@@ -192,5 +194,5 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         for i in range(a, b):
             words = texts[i].split()
             counts[i] = len(words)
-            parts.append(np.fromiter(map(xxh3_64_intdigest, words), np.uint64, len(words)))
+            parts.append(np.fromiter(map(xxh3_64_intdigest, words, repeat(seed)), np.uint64, len(words)))
     return np.concatenate(parts), counts

@@ -9,8 +9,8 @@ corpus without repeats has no candidates after it.
 
 Words are ASCII white-space separated, unchanged; windows stay inside a document.  Levels
 below the full one compare shortened hashes, which can only let a window pass
-to the next level; the full windows are compared by 128 bits of two independent chains
-of hashes.  Of equal windows the first stays (smaller id, then earlier start); every word
+to the next level; the full windows are compared by 128 bits: two chains
+of hashes, each from word hashes of its own seed.  Of equal windows the first stays (smaller id, then earlier start); every word
 that a later one covers is removed.  Windows are judged on the input.
 
 Null and empty texts have no words and keep none.  Null ids stand before all others; rows of one id and one text count in
@@ -60,6 +60,7 @@ class Windows:
 
     def __init__(self, texts: list[bytes], window: int, keep_bits: int) -> None:
         self.lengths = level_lengths(window)
+        self.texts = texts
         self.words, self.counts = word_hashes(texts)
         self.ends = np.cumsum(self.counts)
         n = len(self.words)
@@ -95,8 +96,8 @@ class Windows:
         return out
 
     def second_hashes(self) -> np.ndarray:
-        """An independent hash of the full windows."""
-        out = _short_windows(self.words, self.lengths[0], 2)
+        """Another hash of the full windows, from hashes of the words with another seed."""
+        out = _short_windows(word_hashes(self.texts, 1)[0], self.lengths[0], 2)
         for length, longer in zip(self.lengths, self.lengths[1:]):
             out = self._doubled(out, longer - length, 2)
         return out

@@ -195,3 +195,21 @@ def test_suffix_threshold_has_a_floor(spark):
 @pytest.mark.parametrize("operator", [exact_dedup.exact_dedup, simhash.near_dedup, substring_dedup.dedup, suffix_dedup.dedup])
 def test_empty_table(spark, operator):
     assert operator(spark.createDataFrame([], DOCS)).collect() == []
+
+
+def test_words_with_one_hash_are_told_apart(spark, monkeypatch):
+    """Two words that share their first hash differ in the second one, so windows over them are not taken for equal."""
+    from newsfold.llm import substring_dedup as SD
+
+    found = SD.word_hashes
+
+    def weak(texts, seed=0):
+        return found([t.replace(b"other", b"equal") for t in texts] if seed == 0 else texts, seed)
+
+    monkeypatch.setattr(SD, "word_hashes", weak)
+    windows = [SD.Windows([b"a b equal c d"], 5, 64), SD.Windows([b"a b other c d"], 5, 64)]
+    for w in windows:
+        while w.level < len(w.lengths) - 1:
+            w.double(np.ones(len(w.keys()[0]), bool))
+    first, second = ([w.hashes[0] for w in windows], [w.second_hashes()[0] for w in windows])
+    assert first[0] == first[1] and second[0] != second[1]
