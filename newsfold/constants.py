@@ -96,17 +96,18 @@ DEFAULT_EVENT_CAP = 12
 DEFAULT_MAX_CONTENT_CHARS = 4000
 
 # search-region cascade: first matching class wins, default us-en.  The four
-# Latin classes are the case-insensitive originals written out in full (the
-# Turkish one also matches plain i/I, as the original does).
+# Latin classes are the case-insensitive originals: their members in their
+# order, then the other case of each, since Java and RE2 do not ignore case
+# alike (the Turkish one also matches plain i/I, as the original does).
 REGION_RULES = (
     (r"[\x{3040}-\x{30ff}]", "jp-jp"),
     (r"[\x{ac00}-\x{d7af}]", "kr-kr"),
     (r"[\x{4e00}-\x{9fff}]", "cn-zh"),
     (r"[\x{0400}-\x{04ff}]", "ru-ru"),
-    (r"[ÀÂÆÇÈÉÊËÎÏÑÔÙÛÜàâæçèéêëîïñôùûüÿŒœŸ]", "fr-fr"),
-    (r"[¡¿ÁÉÍÑÓÚÜáéíñóúü]", "es-es"),
-    (r"[ÀÁÂÃÇÉÊÍÓÔÕÚàáâãçéêíóôõú]", "pt-pt"),
-    (r"[IiÇÖÜçöüĞğİıŞş]", "tr-tr"),
+    (r"[àâçéèêëîïôûùüÿñæœÀÂÇÉÈÊËÎÏÔÛÙÜŸÑÆŒ]", "fr-fr"),
+    (r"[áéíñóúü¡¿ÁÉÍÑÓÚÜ]", "es-es"),
+    (r"[ãõáâàçéêíóôõúÃÕÁÂÀÇÉÊÍÓÔÚ]", "pt-pt"),
+    (r"[ğüşöçıİĞÜŞÖÇIi]", "tr-tr"),
     (r"[\x{0590}-\x{05ff}]", "wt-wt"),
     (r"[\x{0600}-\x{06ff}]", "wt-wt"),
     (r"[\x{0900}-\x{097f}]", "in-en"),
