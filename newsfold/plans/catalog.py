@@ -995,6 +995,45 @@ def c1_grown(spark, sf):
     return labels.select("seq", "label")
 
 
+#: Successive excerpts of a page in c1_grown_excerpts: words of each, words from one to the next, how many.
+EXCERPT_WORDS, EXCERPT_STEP, EXCERPTS = 40, 10, 4
+#: Excerpts come one after the other: all first ones, then all second ones.
+EXCERPT_SEQ = 1 << 20
+
+
+def _excerpt_ctes():
+    own = f"w[k * {EXCERPT_STEP} + 1:k * {EXCERPT_STEP} + {EXCERPT_WORDS}]"
+    rows = (
+        f"SELECT *, length(content) AS content_chars FROM (SELECT run_id, task_name, k * {EXCERPT_SEQ} + first_seen AS seq, array_to_string({own}[1:5], ' ') AS title, "
+        f"'' AS snippet, array_to_string({own}, ' ') AS content, domain, domain_score FROM ew, range({EXCERPTS}) AS t(k) WHERE len(w) > k * {EXCERPT_STEP})"
+    )
+    return O.pages_resolved_ctes() + O.dedup_ctes() + [f"ew AS (SELECT *, string_split({O.ws('content')}, ' ') AS w FROM d2)", f"dz AS ({rows})"] + O.feature_ctes("dz")
+
+
+def _excerpt_features(spark, sf):
+    """The URL winners as successive excerpts, each of which shares most of its words with the one before it, and ever fewer with the first."""
+    words = F.split(X.normalize_ws("content"), " ")
+    part = lambda k: F.slice("w", k * EXCERPT_STEP + 1, EXCERPT_WORDS)
+    rows = F.explode(F.transform(F.array(*[F.lit(k) for k in range(EXCERPTS)]), lambda k: F.struct(k.alias("k"), part(k).alias("own"), F.size("w").alias("n"))))
+    d2 = url_dedup(_resolved(spark, sf)).withColumn("w", words).select("*", rows.alias("x")).filter(F.col("x.n") > F.col("x.k") * EXCERPT_STEP)
+    shown = d2.withColumns(
+        {
+            "seq": F.col("x.k").cast("long") * EXCERPT_SEQ + F.col("first_seen"),
+            "title": F.array_join(F.slice("x.own", 1, 5), " "),
+            "snippet": F.lit(""),
+            "content": F.array_join("x.own", " "),
+        }
+    )
+    return page_features(shown.withColumn("content_chars", F.length("content")).drop("w", "x"))
+
+
+@register("c1_grown_excerpts", _sqlr(_excerpt_ctes() + O.arrival_ctes(), "SELECT seq, label FROM labels"))
+def c1_grown_excerpts(spark, sf):
+    """Growth decides here: a later excerpt meets the union of those before it, not the first one."""
+    labels, _ = cluster_labels(_excerpt_features(spark, sf).checkpoint(), "grown")
+    return labels.select("seq", "label")
+
+
 # ================================================================ Q1
 
 

@@ -16,7 +16,7 @@ def plan_of(df) -> str:
 # build eagerly (label rounds run while the DataFrame is constructed); one of
 # each shape is enough for the plan checks
 SAME_SHAPE = {"c8_cluster_table", "d4_representative", "d5_sources", "d6_cluster_tokens", "d7_cluster_signature",
-              "d8_stage_counts", "t2_cluster_order", "t3_cap", "w2_cluster_id", "k2_markdown", "c1_grown"}
+              "d8_stage_counts", "t2_cluster_order", "t3_cap", "w2_cluster_id", "k2_markdown", "c1_grown", "c1_grown_excerpts"}
 
 
 @pytest.fixture(scope="module")
