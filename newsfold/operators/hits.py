@@ -110,10 +110,11 @@ def _dictionary_hits(searchable: DataFrame, cfg: TaskConfig, blocked_host_tokens
     """The rows that the literal arrays of ``keyword_hits`` would explode to."""
     spark = searchable.sparkSession
     ensure_checkpoint_dir(spark)
-    texts = searchable.select(F.col("page_id").alias("id"), F.col("_search").alias("text"))
-    pairs = phrase_matches(texts, formula_rows(spark, cfg), ["task_name", "query_idx"]).withColumnRenamed("id", "page_id")
+    texts = searchable.withColumnsRenamed({"page_id": "id", "_search": "text"})
+    shown = tuple(c for c in searchable.columns if c not in ("page_id", "_search"))
+    pairs = phrase_matches(texts, formula_rows(spark, cfg), ["task_name", "query_idx"], shown).withColumnRenamed("id", "page_id")
     queries = query_dimension(spark, cfg).select("task_name", "query_idx", "exclude_hosts", "top_k")
-    hits = searchable.drop("_search").join(pairs, "page_id").join(F.broadcast(queries), ["task_name", "query_idx"])
+    hits = pairs.join(F.broadcast(queries), ["task_name", "query_idx"])
     if blocked_host_tokens is not None:
         hits = hits.filter(~U.excluded_by_site(F.col("domain"), F.col("exclude_hosts")))
     return hits

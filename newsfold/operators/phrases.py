@@ -11,7 +11,7 @@ per alternative, put together by ``bit_or`` on the map side; an alternative
 holds where all its bits are set.
 
 The dictionary is a table; it is broadcast up to a checked number of rows and
-joined by a shuffle beyond.  Texts do not travel in the aggregation, only ids and bits.
+joined by a shuffle beyond.  Texts do not travel in the aggregation, only ids, bits and what the caller wants carried.
 """
 
 from __future__ import annotations
@@ -42,19 +42,19 @@ def dictionary(formulas: DataFrame, gram: int = GRAM) -> DataFrame:
     return best.select(F.col("b.gram").alias("gram"), "phrase")
 
 
-def phrase_matches(texts: DataFrame, formulas: DataFrame, keys: list[str], gram: int = GRAM) -> DataFrame:
+def phrase_matches(texts: DataFrame, formulas: DataFrame, keys: list[str], carry: tuple = (), gram: int = GRAM) -> DataFrame:
     """texts: id, text; formulas: keys, alt, clause (numbered from 0), phrase.  Gives id and keys, once for each formula that a text satisfies.
 
-    Both sides are compared as they are; callers lower-case them.  An empty phrase holds of every text."""
+    ``carry``: further columns of texts to be given too (short ones; one value per id), so that texts are read once.  Both sides are compared as they are; callers lower-case them.  An empty phrase holds of every text."""
     formulas = formulas.select(*keys, "alt", "clause", "phrase").checkpoint()
     clauses, n = formulas.agg(F.coalesce(F.max("clause") + 1, F.lit(0)), F.count(F.lit(1))).first()
     filed = dictionary(formulas, gram).checkpoint()
     lengths = sorted(r[0] for r in filed.select(F.length("gram")).distinct().collect())  # at most GRAM + 1 of them
     if not lengths:
-        return texts.limit(0).select("id").join(formulas.limit(0).select(*keys), F.lit(True))
+        return texts.limit(0).select("id", *carry, "text").join(formulas.limit(0).select(*keys, F.col("phrase").alias("text")), "text").drop("text")
     own = F.array_distinct(F.flatten(F.array(*[_grams(F.col("text"), k) for k in lengths])))
-    met = texts.select("id", "text", F.explode(own).alias("gram")).join(sized_broadcast(filed, n), "gram")
-    held = met.filter(F.contains("text", F.col("phrase"))).select("id", "phrase")
+    met = texts.select("id", "text", *carry, F.explode(own).alias("gram")).join(sized_broadcast(filed, n), "gram")
+    held = met.filter(F.contains("text", F.col("phrase"))).select("id", "phrase", *carry)
     of = formulas.groupBy(*keys, "alt").agg((F.max("clause") + 1).alias("n_clauses"))
     placed = sized_broadcast(formulas.join(of, [*keys, "alt"]), n)
     bits = held.join(placed, "phrase")
@@ -62,6 +62,8 @@ def phrase_matches(texts: DataFrame, formulas: DataFrame, keys: list[str], gram:
         F.bit_or(F.when(F.floor(F.col("clause") / BITS) == k, F.expr(f"shiftleft(1L, clause % {BITS})")).otherwise(F.lit(0).cast("long"))).alias(f"v{k}")
         for k in range(-(-clauses // BITS))
     ]
-    whole = bits.groupBy("id", *keys, "alt", "n_clauses").agg(*vector)
+    carried = [F.first(c).alias(c) for c in carry]
+    whole = bits.groupBy("id", *keys, "alt", "n_clauses").agg(*vector, *carried)
     count = sum((F.bit_count(f"v{k}") for k in range(1, len(vector))), F.bit_count("v0"))
-    return whole.filter(count == F.col("n_clauses")).select("id", *keys).distinct()
+    found = whole.filter(count == F.col("n_clauses"))
+    return found.groupBy("id", *keys).agg(*carried) if carry else found.select("id", *keys).distinct()
