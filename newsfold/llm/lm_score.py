@@ -4,12 +4,12 @@ The n-gram counts of all orders stand in tables partitioned by the n-gram's
 hash.  The documents' n-grams, exploded and summed per block of documents, are
 joined to the tables partition by partition: a partition sums the counts of all
 blocks into its part of the table and returns to each block the totals of the n-grams it holds.  Words and pairs
-go first; a longer n-gram is only asked for where both shorter ones in it are in the tables.  Each document
-then sums the logarithms of its words' scores.
+go first; a longer n-gram is only asked for where both shorter ones in it occur more than once, for all others
+occur once and need no table.  Each document then sums the logarithms of its words' scores.
 
 A word's score is c(n-gram) / c(n-gram without its last word) for the longest n-gram ending in it that is in the tables;
 for each order passed over it is multiplied by ALPHA; with no n-gram left it is c(word) / N.  The tables hold all words, and
-longer n-grams from MIN_COUNT occurrences on.  N-grams stay inside a document, so its first
+longer n-grams from min_count occurrences on, by default all of them.  N-grams stay inside a document, so its first
 words start with shorter ones.  N-grams are told apart by 64-bit hashes.
 
 Words are ASCII white-space separated, unchanged.  Null and empty texts have no words: score 0 and a null mean.  All rows count, repeated ones too.
@@ -26,7 +26,7 @@ from .exchange import BLOCK_BYTES, Blocks, answer, ids_array, union, word_hashes
 
 ORDER = 3
 ALPHA = 0.4
-MIN_COUNT = 2
+MIN_COUNT = 1
 DECIMALS = 6
 #: Kind of message that carries the number of words.
 WORDS = 0
@@ -37,7 +37,7 @@ COLUMNS = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("score",
 
 class Grams:
     """The n-grams of a block's texts, order by order: next() moves to the next order, learn() takes its table's counts.
-    From order 3 on only n-grams whose two shorter parts are in the tables can be in them, so only those are looked at."""
+    From order 3 on an n-gram with a part that occurs once occurs once itself, so only the others are looked up."""
 
     def __init__(self, texts: list[bytes], min_count: int) -> None:
         self.words, self.counts = word_hashes(texts)
@@ -57,14 +57,14 @@ class Grams:
         if self.order > 1:
             self.hashes[starts] = mix(self.hashes[starts] * np.uint64(0x9E3779B97F4A7C15) + self.words[starts + self.order - 1])
         if self.order > 2:
-            shorter = self.tables[-1] >= self.min_count
+            shorter = self.tables[-1] >= max(2, self.min_count)
             starts = starts[shorter[starts] & shorter[starts + 1]]
         keys, which, times = np.unique(self.hashes[starts], return_inverse=True, return_counts=True)
         self.asked = starts, which
         return keys, times.astype(np.uint32)
 
     def learn(self, totals: np.ndarray) -> None:
-        table = np.zeros(len(self.words), np.int64)
+        table = (self.room >= self.order).astype(np.int64)  # one occurrence, unless looked up
         starts, which = self.asked
         table[starts] = totals[which]
         self.tables.append(table)

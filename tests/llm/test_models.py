@@ -188,7 +188,7 @@ def backoff_by_hand(rows, order, alpha, min_count):
     return sorted(out, key=lambda r: repr(r[:2]) + f"{r[2]:.3f}")
 
 
-@pytest.mark.parametrize("order,min_count,block", [(3, 2, 16 << 20), (3, 2, 4000), (1, 2, 4000), (4, 3, 9000)])
+@pytest.mark.parametrize("order,min_count,block", [(3, 1, 16 << 20), (4, 1, 4000), (3, 2, 4000), (1, 1, 4000), (4, 3, 9000)])
 def test_backoff(spark, order, min_count, block):
     rows = awkward() + [(100 + i, prose(i, 50, 30), "en", "a", 1) for i in range(40)]
     got = lm_score.score(frame(spark, rows), order, 0.4, min_count, block_bytes=block).collect()
