@@ -1,27 +1,15 @@
-"""Connected components of an edge table, by minimum labels and pointer jumping."""
+"""Connected components of an edge table, by contraction to stars."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from ..operators.components import contracted
 
 
 def component_roots(edges: DataFrame) -> DataFrame:
     """edges: a, b (long).  Returns node, root for every node of an edge; root is the
-    smallest node of its component.
-
-    Each round a node takes the smallest root among its neighbours' and then its
-    root's root; rounds go on while a root changes, and each is checkpointed."""
-    both = cut(edges.select("a", "b").union(edges.select("b", "a")).distinct())
-    roots = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("b")).select("node", F.least("node", "b").alias("root"))
-    roots = cut(roots)
-    while True:
-        seen = both.join(roots.select(F.col("node").alias("b"), "root"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))
-        near = roots.join(seen, "node").select("node", F.col("root").alias("old"), F.least("root", "near").alias("root"))
-        up = near.select(F.col("node").alias("root"), F.col("root").alias("top"))
-        moved = cut(near.join(up, "root").select("node", "old", F.least("root", "top").alias("root")))
-        roots = moved.select("node", "root")
-        if moved.filter("root < old").isEmpty():
-            return roots
+    smallest node of its component.  No task reads a component by its root."""
+    stars = contracted(edges.select("a", "b"), [])
+    return stars.unionByName(stars.select(F.col("root").alias("node"), "root").distinct())

@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.components import looked_up
 from .common import cut, shuffle_partitions
 from .graph import component_roots
 
@@ -197,10 +198,10 @@ def near_dedup(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE
     prints = cut(fingerprints(docs, shingle, id_col, text_col))
     distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
     roots = component_roots(links(distinct.select("fp"), distance))
-    rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    rooted = cut(distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root")))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    component = rooted.join(named, "root").select("fp", "component_id")
-    return prints.join(component, "fp").select(
+    component = looked_up(rooted, named, ["root"], rooted.count()).select("fp", "component_id")
+    return looked_up(prints, component, ["fp"], prints.count()).select(  # fingerprints and roots of many rows are not shuffled
         "doc_id",
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         "component_id",
