@@ -2,11 +2,14 @@
 
 import math
 import random
-from collections import defaultdict
+import time
+from collections import Counter, defaultdict
 
 import numpy as np
 import pandas as pd
 import pytest
+import regex
+import xxhash
 from cases import CLASHES, DOCS, awkward, frame, pandas_docs, prose, spark_rows, sql_rows, words
 from conftest import SF_CHECK
 from pyspark.sql import functions as F
@@ -119,11 +122,23 @@ def segments_by_hand(scores):
 
 def test_maximal_segments():
     r = random.Random(1)
-    for _ in range(300):
-        scores = [r.uniform(0.1, 5) if r.random() < 0.4 else -1.0 for _ in range(r.randint(1, 20))]
-        at = [i for i, x in enumerate(scores) if x > 0]
-        got = toxicity.maximal_segments(np.array(at, int), np.array([scores[i] for i in at]), 1.0)
-        assert [(a, b, round(s, 9)) for a, b, s in got] == segments_by_hand(scores)
+    for k in range(400):
+        scores = [r.uniform(0.1, 5) if r.random() < 0.4 else r.choice([-1.0, 0.0, -r.random()]) for _ in range(r.randint(0, 20))]
+        got = toxicity.maximal_segments(np.array(scores, float))
+        assert [round(s, 9) for _, _, s in got] == [s for _, _, s in segments_by_hand(scores)]
+        assert toxicity.best_score(np.array(scores, float)) == pytest.approx(max((s for _, _, s in got), default=0))
+        if k % 2:  # without neutral tokens, which leave ties, the places are the same too
+            scores = [x or -0.5 for x in scores]
+            got = toxicity.maximal_segments(np.array(scores, float))
+            assert [(a, b, round(s, 9)) for a, b, s in got] == segments_by_hand(scores)
+
+
+def test_segments_of_a_very_long_text():
+    """A falling sum, where no segment joins an earlier one: one step a segment."""
+    scores = np.tile([1.0, -2.0], 300_000)
+    began = time.process_time()
+    assert len(toxicity.maximal_segments(scores)) == 300_000
+    assert time.process_time() - began < 10
 
 
 def test_lambda_solves_its_equation():
@@ -132,6 +147,117 @@ def test_lambda_solves_its_equation():
     assert abs((share * np.exp(lam * values)).sum() - 1) < 1e-9
 
 
+def toxicity_by_hand(training, texts):
+    """The whole training and score in plain Python: training is (text, label), texts are scored."""
+    cut = lambda t: regex.findall(toxicity.TOKEN, t.lower())
+    labels = {}
+    for t, y in training:
+        labels[t] = max(y, labels.get(t, 0))
+    half = {t: xxhash.xxh64_intdigest(t.encode(), 42) & 1 for t in labels}
+    whole = Counter(w for t in labels for w in set(cut(t)))
+
+    def odds_from(chosen):
+        words, begins, all_ = (defaultdict(lambda: [0, 0]) for _ in range(3))
+        for t in chosen:
+            for w in set(cut(t)):
+                for cell in (words[w], begins[w[: toxicity.BEGINNING]], all_[0]):
+                    cell[0] += labels[t]
+                    cell[1] += 1
+        rate = lambda cell, prior: (cell[0] + toxicity.PRIOR * prior) / (cell[1] + toxicity.PRIOR)
+        logit = lambda p: math.log(p / (1 - p))
+        p = all_[0][0] / all_[0][1]
+
+        def odds(text):
+            out, past = [], None
+            for w in cut(text):
+                begin = rate(begins[w[: toxicity.BEGINNING]], p) if w[: toxicity.BEGINNING] in begins else p
+                own = w in words and words[w][1] >= toxicity.MIN_TEXTS and whole[w] >= toxicity.MIN_TEXTS
+                out.append(None if w == past else logit(rate(words[w], begin) if own else begin) - logit(p))
+                past = w
+            return out
+
+        return odds
+
+    by_other = [odds_from([t for t in labels if half[t] != h]) for h in (0, 1)]
+    scored = lambda odds, drift: [0.0 if x is None else x - drift for x in odds]
+    found = [(by_other[half[t]](t), y) for t, y in labels.items()]
+    laws = []
+    for drift in toxicity.DRIFTS:
+        values = [x for odds, y in found if not y for x in scored([None if x is None else round(x, 2) for x in odds], drift)]
+        low, high = 1e-9, 1.0
+        solvable = max(values) > 0 > sum(values)
+        while solvable and sum(math.exp(high * v) for v in values) <= len(values):
+            high *= 2
+        for _ in range(80 if solvable else 0):
+            middle = (low + high) / 2
+            low, high = (low, middle) if sum(math.exp(middle * v) for v in values) > len(values) else (middle, high)
+        x = [(high * max(s for *_, s in segs) - math.log(len(odds))) for odds, y in found if not y and (segs := segments_by_hand(scored(odds, drift)))]
+        mean = sum(x) / max(1, len(x))
+        scale = max(math.sqrt(6 * sum((v - mean) ** 2 for v in x) / len(x)) / math.pi, 0.5) if len(x) > 1 else 1.0
+        law = (drift, high, mean - 0.5772156649 * scale if x else 0.0, scale)
+        laws.append((law, *fit_by_hand([(evidence_by_hand(odds, law, False), y) for odds, y in found])))
+    law, *_ = max(laws, key=lambda x: x[3])
+    slope, shift, _ = fit_by_hand([(evidence_by_hand(odds, law, True), y) for odds, y in found])
+    final = odds_from(list(labels))
+    return [1 / (1 + math.exp(-(slope * evidence_by_hand(final(t), law, True) + shift))) for t in texts]
+
+
+def evidence_by_hand(odds, law, together):
+    drift, lam, place, scale = law
+    segments = segments_by_hand([0.0 if x is None else x - drift for x in odds])
+    z = sorted(((lam * s - math.log(len(odds)) - place) / scale for *_, s in segments), reverse=True)
+    p = [-math.expm1(-math.exp(-x)) for x in z]
+    best = max((-math.log(x) for x in p), default=0.0)
+    z = [x for x, q in zip(z, p) if q <= toxicity.PASSAGE] if together else []
+    for r in range(2, len(z) + 1):
+        t = sum(z[:r])
+        best = max(best, -math.log(math.exp(-t) * t ** (r - 1) / (math.factorial(r) * math.factorial(r - 1)) * 2**r))
+    return best
+
+
+def fit_by_hand(rows):
+    a, b = 0.0, 0.0
+    for _ in range(100):
+        g = [-0.1 * a, -1e-6 * b]
+        h = [0.1, 0.0, 1e-6]
+        for e, y in rows:
+            p = 1 / (1 + math.exp(-max(-50, min(50, a * e + b))))
+            g = [g[0] + (y - p) * e, g[1] + y - p]
+            h = [h[0] + p * (1 - p) * e * e, h[1] + p * (1 - p) * e, h[2] + p * (1 - p)]
+        det = h[0] * h[2] - h[1] ** 2
+        a, b = a + (h[2] * g[0] - h[1] * g[1]) / det, b + (h[0] * g[1] - h[1] * g[0]) / det
+    p = [1 / (1 + math.exp(-(a * e + b))) for e, _ in rows]
+    return a, b, sum(math.log(x if y else 1 - x) for x, (_, y) in zip(p, rows))
+
+
+def test_toxicity_equals_plain_python(spark):
+    r = random.Random(8)
+    bad, rows = ["scoundrel", "wretch", "fiend", "fiendish"], []
+    for i in range(130):
+        w = prose(i, 14, 40).split()
+        for at in r.sample(range(14), r.choice([1, 2, 3]) if i % 4 == 0 else i % 9 == 0):
+            w[at] = r.choice(bad)
+        rows.append((i, " ".join(w + w[-1:] * (i % 2)), "en", "a", 1))
+    rows += [(200, rows[0][1], "en", "a", 1), (201, None, "en", "a", 1), (202, "wretch fiend wretch, fiend of a scoundrel", "en", "a", 1)]
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i, *_ in rows if i != 202], "doc_id long, toxic int")
+    docs = spark.createDataFrame(rows, DOCS)
+    got = {x.doc_id: x.score for x in toxicity.score(docs, toxicity.train(docs, labels)).collect()}
+    expected = toxicity_by_hand([(t or "", int(i % 4 == 0)) for i, t, *_ in rows if i != 202], [t or "" for _, t, *_ in rows])
+    assert [got[i] for i, *_ in rows] == pytest.approx(expected, abs=1e-6)
+
+
+@pytest.mark.parametrize("each", [1, toxicity.MIN_EACH - 1, toxicity.MIN_EACH])
+def test_toxicity_of_few_training_texts(spark, each):
+    rows = [(i, f"scoundrel wretch {prose(i, 20)}" if i % 2 else prose(i, 20), "en", "a", 1) for i in range(2 * each)]
+    rows += [(1000, rows[1][1], "en", "a", 1), (1001, None, "en", "a", 1)]
+    labels = spark.createDataFrame([(i, i % 2) for i, *_ in rows if i != 1001], "doc_id long, toxic int")
+    docs = spark.createDataFrame(rows, DOCS)
+    model = toxicity.train(docs, labels.filter("doc_id < 1000"))
+    assert (model is None) == (each < toxicity.MIN_EACH)
+    if model is None:
+        assert {(x.score, x.predicted) for x in toxicity.score(docs, model).collect()} == {(0.0, 0)}
+
+
 def test_toxicity_held_out(spark):
     docs, labels = (spark.read.parquet(f"{SF_CHECK}/{t}.parquet") for t in ("documents", "labels"))
     got = toxicity.predict(docs, labels).join(labels, "doc_id").filter("held_out").toPandas()
