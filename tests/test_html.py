@@ -6,7 +6,7 @@ import re
 import pytest
 
 from newsfold import constants as K
-from newsfold.functions.html import html_text, main_content, strip_dropped_elements
+from newsfold.functions.html import NAME_RE, RAW_RE, TAG_RE, html_text, main_content, strip_dropped_elements
 
 TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*)[^>]*?(/?)>")
 
@@ -116,3 +116,24 @@ def test_blocks_judged_together(spark):
 def test_long_pages(spark):
     page = "<nav>x" * 3 + "<p>word " * 3000 + "</nav>" * 3 + "<p>some words</p>" * 3000
     assert rows_of(spark, html_text(strip_dropped_elements("h")), [page]) == [" ".join(["some words"] * 3000)]
+
+
+def test_tags_are_named_once(spark):
+    """The tags of a page are read once for the fold and the names it carries; a pattern tests a character once for '<'."""
+    plan = spark.createDataFrame([("<p>",)], "h string").select(strip_dropped_elements("h").alias("c"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(NAME_RE) == 1
+    for pattern in (TAG_RE, RAW_RE.removeprefix("(?is)")):
+        assert pattern.startswith("<(?:") and pattern.endswith(")")
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("a < b <p title='x>y' c=\"z>\">d", "a d"),
+        ("a <p title='open>b", "a b"),
+        ("<!-- x <script> --> y <SCRIPT>z</script > w <style/>v", "y w"),
+        ("<scripted>kept</scripted> 1 << 2 <>", "kept 1"),
+    ],
+)
+def test_edges_of_tags(spark, page, text):
+    assert rows_of(spark, html_text(strip_dropped_elements("h")), [page]) == [text]

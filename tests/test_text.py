@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from newsfold import constants as K
 from newsfold.functions import scoring as R
 from newsfold.functions import text as X
 
@@ -109,6 +110,31 @@ def test_whitespace(spark):
     assert one(spark, X.normalize_ws, None) == ""
 
 
+def test_whitespace_is_every_character_of_the_fixed_class(spark):
+    """The pattern that runs finds what K.WS finds, in every character of the plane; printable ASCII is ruled out first."""
+    points = [i for i in range(1, 0x10000) if not 0xD800 <= i < 0xE000]
+    rows = spark.createDataFrame([(chr(i),) for i in points], "v string")
+    assert X.WS_RE.startswith("[[^!-~]&&")
+    assert rows.filter(F.col("v").rlike(X.WS_RE) != F.col("v").rlike(K.WS)).count() == 0
+    assert rows.filter(F.col("v").rlike(X.WS_RE)).count() > 20
+
+
+def test_clean_text_looks_for_phrases_once(spark):
+    """A phrase is found as the separate patterns find it, also where another one's removal makes it."""
+    texts = ["plain text", "SIGN UP now", "Cookies Policy x", "cookie policy", "si sign up gn up", "a\u00a0Subscribe  now b", "\u017fign up", "", None]
+
+    def plain(col):
+        t = X.normalize_ws(col)
+        for pattern in K.BOILERPLATE_PATTERNS:
+            t = F.regexp_replace(t, "(?i)" + pattern, " ")
+        return F.trim(F.substring(X.normalize_ws(t), 1, 4000))
+
+    df = spark.createDataFrame([(x,) for x in texts], "v string")
+    got = df.select(X.clean_text("v", 4000).alias("a"), plain(F.col("v")).alias("b"))
+    assert [r.a for r in got.collect()] == [r.b for r in got.collect()]
+    assert X.BOILERPLATE_RE in df.select(X.clean_text("v", 4000))._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_character_references(spark):
     import html
 
